@@ -65,7 +65,8 @@ def seats(target: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     t = target.withColumn("block_tokens", block).withColumn("seats", F.floor(F.col("budget") / F.col("block_tokens")))
     t = t.withColumn("ideal", F.col("target") / F.col("block_tokens")).withColumn("slack", F.lit(1.0) + n * share)
     t = t.withColumn("sure", F.greatest(F.lit(0), F.floor(F.col("ideal") - F.col("slack"))).cast("long"))
-    rivals = t.select("source", "rank", "target", F.explode(F.sequence("sure", F.ceil(F.col("ideal") + F.col("slack")).cast("long"))).alias("k"), (F.col("seats") - F.sum("sure").over(W.partitionBy())).alias("open"))
+    t = t.withColumn("open", F.col("seats") - F.sum("sure").over(W.partitionBy()))
+    rivals = t.select("rank", "target", "open", F.explode(F.sequence("sure", F.ceil(F.col("ideal") + F.col("slack")).cast("long"))).alias("k"))
     rivals = rivals.withColumn("place", F.row_number().over(W.orderBy((F.col("target") / (2 * F.col("k") + 1)).desc(), "rank", "k")))
     won = rivals.filter((F.col("place") <= F.col("open")) & (F.col("target") > 0)).groupBy("rank").agg(F.count("*").alias("won"))
     return t.join(won, "rank", "left").select("source", "rank", "source_size", "target", "block_tokens", (F.col("sure") + F.coalesce("won", F.lit(0))).alias("quota"))

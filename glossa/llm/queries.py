@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, sharding
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,3 +41,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_source_mixing")
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_vector_sharding")
+def op3_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"))
