@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, sharding, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,3 +46,18 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_vector_sharding")
 def op3_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_warc_transactions",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT html, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html AND n >= 1000
+""",
+)
+def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.round_trip(table(spark, sf_dir, "pages"))
+    return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), "response.refers_to")
