@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding, warc
+from . import decontamination, exact_dedup, mixing, sharding, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,25 @@ FROM p LEFT JOIN g ON p.html = g.html AND n >= 1000
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.round_trip(table(spark, sf_dir, "pages"))
     return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), "response.refers_to")
+
+
+@query(
+    "op5_decontamination",
+    r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT rid, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+m AS (SELECT rid, dw.k, i, item_id FROM dw JOIN win ON dw.g = win.g AND dw.k = win.k),
+h AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM m) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n, string_agg(s, ',' ORDER BY s) AS names FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN its USING (rid)
+""",
+)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = decontamination.n_hit()
+    return found.select(F.col("key").alias("doc_id"), "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), decontamination.digest().alias("items_sha256"), (hits > 0).alias("contaminated"))
