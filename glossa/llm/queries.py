@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, sharding, warc
+from . import decontamination, exact_dedup, mixing, secrets, sharding, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hits = decontamination.n_hit()
     return found.select(F.col("key").alias("doc_id"), "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), decontamination.digest().alias("items_sha256"), (hits > 0).alias("contaminated"))
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
