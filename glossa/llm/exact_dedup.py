@@ -27,6 +27,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # A store leaves its executor's disk once its batch is committed to the checkpoint.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 

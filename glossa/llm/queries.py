@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, secrets, sharding, warc
+from . import decontamination, exact_dedup, mixing, scoring, secrets, sharding, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -88,3 +88,9 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scoring.score(docs, scoring.in_part(F.col("doc_id"), 7, 2)).withColumnRenamed("key", "doc_id")
