@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, scoring, secrets, sharding, warc
+from . import decontamination, exact_dedup, mixing, scoring, secrets, sharding, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return scoring.score(docs, scoring.in_part(F.col("doc_id"), 7, 2)).withColumnRenamed("key", "doc_id")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = scoring.in_part(F.col("doc_id"), 3, 1)
+    found = toxicity.score(docs, labels, ~held_out).withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
