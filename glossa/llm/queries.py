@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, scoring, secrets, sharding, toxicity, warc
+from . import decontamination, exact_dedup, minhash, mixing, scoring, secrets, sharding, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -102,3 +102,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = scoring.in_part(F.col("doc_id"), 3, 1)
     found = toxicity.score(docs, labels, ~held_out).withColumnRenamed("key", "doc_id")
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op2_minhash_dedup")
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
