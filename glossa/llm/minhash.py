@@ -216,3 +216,12 @@ def _inside(members: DataFrame, label: DataFrame, features: DataFrame, sets: Dat
     codes = near(codes, F.col("node"), rows, F.col("node")).dropDuplicates(["node"])
     rows = rows.join(codes, "node").join(sets, "node")
     return staged(rows.groupBy("key", "one", "two").applyInArrow(_compare, "a long, b long"), "links").distinct()
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of the ids that ``near_duplicates`` keeps, all columns; rows that repeat a kept id stay."""
+    found = near_duplicates(docs, key, text_col)
+    gone = staged(found.filter(~F.col("kept")).select("id").distinct(), "dropped")
+    rest = near(docs, F.col(key).cast("long"), gone, F.col("id"), hit=False)
+    maybe = near(docs, F.col(key).cast("long"), gone, F.col("id"))
+    return rest.unionByName(maybe.join(gone, F.col(key).cast("long") == F.col("id"), "left_anti"))

@@ -29,10 +29,15 @@ BLOCKS, BUCKETS, SHARDS = 1 << 16, 4096, 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def sized_column(name: str, text_col: str, id_col: str):
+    """size: the words of the text; h: the seeded order of the row."""
+    if name == "size":
+        return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias(name)
+    return F.xxhash64(F.lit(SEED), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias(name)
+
+
 def sized(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.xxhash64(F.lit(SEED), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), order.alias("h"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), *[sized_column(c, text_col, id_col) for c in ("size", "h")])
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -79,7 +84,7 @@ def shard_quotas(seated: DataFrame, shards: int = SHARDS) -> DataFrame:
     return s.select("source", "shard", (at(F.col("shard") + 1) - at(F.col("shard"))).alias("blocks"))
 
 
-def mixture(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights=WEIGHTS, epochs: int = EPOCHS, blocks: int = BLOCKS, buckets: int = BUCKETS) -> DataFrame:
+def mixture(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights=WEIGHTS, epochs: int = EPOCHS, blocks: int = BLOCKS, buckets: int = BUCKETS, keep_order: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each row of ``docs``."""
     rows = staged(sized(docs, text_col, source_col, id_col).withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(buckets))), "sizes")
     parts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("part"))
@@ -96,4 +101,19 @@ def mixture(docs: DataFrame, text_col: str = "text", source_col: str = "source",
     full = F.coalesce(F.floor(F.col("tokens") / F.expr("nullif(source_size, 0)")), F.lit(0)).cast("long")
     rest = F.col("tokens") - full * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start") - F.col("ahead")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (full * F.col("size") + part).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", (full * F.col("size") + part).cast("long").alias("taken"), *(["h"] if keep_order else []))
+
+
+def apply_mixture(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
+    """Each row as many times as the mix takes it, rounded up; rows without words stay once.
+
+    Every row joins its own placement: by id, size and seeded order, which only rows that are
+    alike share; such rows share their takes.
+    """
+    rows = docs.select("*", F.struct(*[sized_column(c, text_col, id_col) for c in ("size", "h")]).alias("_at"))
+    taken = mixture(docs, text_col, source_col, id_col, keep_order=True)
+    pooled = taken.groupBy("doc_id", "size", "h", "source").agg(F.sum("taken").alias("taken"), F.count("*").alias("alike"))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.ceil(F.col("taken") / (F.col("size") * F.col("alike")))).cast("int")
+    pooled = pooled.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("h").alias("_h"), F.col("source").alias("_source"), times.alias("_times")).filter("_times > 0")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("_at.size") == F.col("_size")) & (F.col("_at.h") == F.col("_h"))
+    return rows.join(pooled, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")

@@ -12,6 +12,8 @@ HEAVY = 1000
 #: Buckets of a membership filter: at most so many longs are broadcast.
 FILTER_BUCKETS = 1 << 18
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; where it is unset (tests), one under the warehouse."""
@@ -28,10 +30,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors.
+
+    Shuffle files of the write go when it ends, so a chain of stages holds those of one at a time.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

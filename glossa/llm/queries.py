@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, minhash, mixing, scoring, secrets, sharding, toxicity, warc
+from . import decontamination, exact_dedup, minhash, mixing, scoring, secrets, sharding, substrings, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_minhash_dedup")
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op8_substring_dedup",
+    r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT rid, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS s FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT s, min(doc_id) AS least FROM g GROUP BY s),
+h AS (SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p FROM g JOIN m USING (s) WHERE least < doc_id),
+k AS (SELECT d.rid, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) AS d LEFT JOIN h USING (rid, p) WHERE h.p IS NULL GROUP BY d.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)
+""",
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
