@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..lexicon import PARTICLES  # noqa: F401  (re-exported for callers that build their own filters)
 
@@ -35,7 +36,7 @@ def non_blank(c: Column, other: Column) -> Column:
     return F.coalesce(F.when(c != "", c), other)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(s: pd.Series) -> pd.Series:
     """HTML entities of all names and numbers, as one vector call a batch."""
     return s.map(html.unescape, na_action="ignore")
