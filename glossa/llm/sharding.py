@@ -59,7 +59,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, gr
     large = groups.filter(own[0] | own[1] | own[2]).select(F.col("group").alias("_g"), pieces.alias("pieces"))
     bundle = F.pmod(F.xxhash64("group"), F.lit(shards * bundles))
     piece = F.concat_ws("-", F.hex("group"), F.pmod(F.xxhash64("doc_id", "size"), F.col("pieces")))
-    rows = rows.join(F.broadcast(large), F.col("group") == F.col("_g"), "left").withColumn("item", F.coalesce(piece, bundle.cast("string"))).drop("_g", "pieces", "group")
+    rows = rows.join(F.broadcast(large), F.col("group") == F.col("_g"), "left").withColumn("item", F.when(F.col("pieces").isNull(), bundle.cast("string")).otherwise(piece)).drop("_g", "pieces", "group")
     found = rows.groupBy("item").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).orderBy("item").collect()
     shard = place(np.array([[r["size"], r["tokens"], r["rows"]] for r in found], np.int64).reshape(-1, 3), shards)
     ahead, next_slot = [], [0] * shards
