@@ -7,6 +7,8 @@ inputs are never rewritten.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import lexicon as L
 from ..functions.hrefs import lookup
 from ..functions.text import name_key, title_key
+from .grammar import clean_name
 
 TITLED = r"(?iu)^(?:president|elder|sister|brother|bishop)\s+"
 NO_AUTHOR_TYPES = ("scripture", "periodical", "hymn", "manual", "study_help")
@@ -70,8 +73,14 @@ def keyed_names(names: DataFrame, curated: DataFrame) -> DataFrame:
 
 def kinds(key: Column, speaker_keys: Column) -> Column:
     """church_leader, scripture_figure or external, before curated kinds."""
-    array = lambda names: F.array(*[name_key(F.lit(n)) for n in names])  # noqa: E731  folded to constants
-    return F.when(speaker_keys | F.array_contains(array(L.HISTORIC_LEADERS), key), "church_leader").when(F.array_contains(array(L.SCRIPTURE_FIGURES), key), "scripture_figure").otherwise("external")
+    leaders, figures = ({key_of_name(n) for n in names} for names in (L.HISTORIC_LEADERS, L.SCRIPTURE_FIGURES))
+    return F.when(speaker_keys | key.isin(*leaders), "church_leader").when(key.isin(*figures), "scripture_figure").otherwise("external")
+
+
+def key_of_name(name: str) -> str:
+    """``name_key`` of a constant, on the driver."""
+    bare = re.sub(r"\b(?:jr|sr|ii|iii|iv)\b", "", re.sub(r"[.,’'\"()\[\]]", "", (clean_name(name) or name).lower()))
+    return " ".join(bare.split())
 
 
 def authors(citations: DataFrame, speakers: DataFrame, curated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -184,7 +184,7 @@ def page_udf() -> Column:
     @F.pandas_udf(schema.BODY)
     def read(body: pd.Series, notes: pd.Series) -> pd.DataFrame:
         pages = [read_page(b, [(n["key"], n["value"] or {}) for n in (ns if ns is not None else [])]) for b, ns in zip(body, notes, strict=True)]
-        return pd.DataFrame(pages, columns=["speaker_role", "speaker_name", "paragraphs", "footnotes"])
+        return pd.DataFrame(pages, columns=["speaker_role", "speaker_name", "paragraphs", "footnotes"], dtype=object)
 
     return read
 

@@ -36,7 +36,7 @@ def answers(citations: DataFrame, reader: Callable[[str, str], dict], cache: Dat
                 rows.append(reader(t or "", (c or "")[-500:]))
             except Exception:  # one failed reading leaves its citation as it is
                 rows.append({})
-        return pd.DataFrame(rows, columns=["is_citation", "year", *FIELDS]).astype({"year": "Int64"})
+        return pd.DataFrame(rows, columns=["is_citation", "year", *FIELDS]).astype(object).where(lambda d: d.notna(), None)
 
     todo = unsure(citations, threshold).select(cache_key(F.col("raw_text"), F.col("context")).alias("input_hash"), "raw_text", "context").dropDuplicates(["input_hash"])
     if cache is not None:
