@@ -48,8 +48,7 @@ def extract(spark, a):
 
 
 def resolve(spark, a):
-    for name, rows in pipeline.resolve(spark, a.out, a.overrides).items():
-        rows.write.mode("overwrite").parquet(f"{a.out}/resolved/{name}")
+    pipeline.resolved(spark, a.out, a.overrides)
 
 
 def aggregate(spark, a):

@@ -53,6 +53,13 @@ def resolve(spark: SparkSession, out: str, overrides: str | None = None, citatio
     return entities.resolve(rows, spark.read.parquet(f"{out}/talks"), *archive.overrides(spark, overrides))
 
 
+def resolved(spark: SparkSession, out: str, overrides: str | None = None, citations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The resolved tables, saved under ``out``/resolved and read again, so that each summary starts from them."""
+    for name, rows in resolve(spark, out, overrides, citations).items():
+        rows.write.mode("overwrite").parquet(f"{out}/resolved/{name}")
+    return {n: spark.read.parquet(f"{out}/resolved/{n}") for n in ("authors", "aliases", "works", "talks", "citations")}
+
+
 def summaries(found: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Every summary of the resolved tables."""
     talks = found["talks"].withColumn("talk_id", F.col("uri"))
@@ -75,7 +82,7 @@ def run(spark: SparkSession, root: str, out: str, selector: str = "all", overrid
     """All stages; writes the site under ``out``/site and gives the summaries."""
     parse(spark, root, out, selector, **filters)
     extract(spark, out, selector)
-    found = resolve(spark, out, overrides, refined(spark, out, reader) if reader else None)
+    found = resolved(spark, out, overrides, refined(spark, out, reader) if reader else None)
     tables = summaries(found)
     export.write_site(tables, found["citations"], f"{out}/site")
     return tables
