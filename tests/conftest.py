@@ -12,7 +12,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CORES', '4')}]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse")).config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
