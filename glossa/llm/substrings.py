@@ -4,8 +4,9 @@ Edges are the ``WINDOW``-token windows of the texts, from the node of their firs
 their last ``WINDOW - 1`` tokens. A window is removed in a document where its tokens also start in
 a document with a smaller id; so an edge's source is its least document.
 
+0. Of documents with one text only the least goes on; in its copies every window is removed.
 1. Each window is represented by the least ``ANCHOR``-token hash inside it (equal windows have equal
-   anchors); about a quarter of the positions are anchors. Anchors in two documents or more are
+   anchors); about a quarter of the positions are anchors. Anchors in two texts or more are
    counted in one shuffle, and only documents that hold one go on, with those anchors.
 2. Windows around repeated anchors are edges. Grouped by hash, those in several documents are
    repeated edges with a source coordinate (document and position).
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from . import words
 from .plan import attach, near, staged
 
-WINDOW, ANCHOR = 13, 6
+WINDOW, ANCHOR = 13, 8
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -59,8 +60,8 @@ def _anchors(batches):
                 continue
             doc = np.searchsorted(c.bounds, starts, "right") - 1
             new = np.concatenate([[True], (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])])
-            ids = batch.column(0).slice(c.first, c.last - c.first).take(pa.array(doc[new]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(low[new].view(np.int64))], names=["id", "anchor"])
+            own = [batch.column(i).slice(c.first, c.last - c.first).take(pa.array(doc[new])) for i in (0, 2)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(low[new].view(np.int64))], names=["id", "class", "anchor"])
 
 
 def _edges(batches):
@@ -93,15 +94,31 @@ def _edges(batches):
 EDGE = "id long, pos int, edge long, second int, head long, tail long"
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(id, text, anchors): documents with anchors that another document holds too."""
-    anchors = docs.filter("id is not null").mapInArrow(_anchors, "id long, anchor long")
-    counted = anchors.groupBy("anchor").agg(F.min("id").alias("_a"), F.max("id").alias("_b"), F.count("*").alias("weight"))
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with the class of their text, and (id, class) of the copies: rows of a text that a smaller id has too.
+
+    A class is a 64-bit hash of the text's digest, checked against the digests: should two texts
+    share one, every id is a class of its own, and there are no copies to pass over.
+    """
+    own = F.xxhash64(F.md5("text"))
+    rows = docs.filter("id is not null and text is not null").select("id", own.alias("class"), F.md5("text").alias("digest"))
+    found = staged(rows.groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.min("digest").alias("_lo"), F.max("digest").alias("_hi")).filter("copies > 1"), "classes")
+    if not found.filter("_lo <> _hi").isEmpty():
+        return docs.withColumn("class", F.col("id")), rows.select("id", "class").limit(0)
+    total = found.agg(F.sum("copies")).first()[0] or 0
+    met = attach(near(rows.select("id", "class"), F.col("class"), found, F.col("class")), found.select("class", "least", "copies"), "class", "copies", F.xxhash64("id"), total)
+    return docs.withColumn("class", own), staged(met.filter("least < id").select("id", "class").distinct(), "copies")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(id, text, anchors): of each class with anchors that another class holds too, the document with the least id."""
+    anchors = rows.filter("id is not null").select("id", "text", "class").mapInArrow(_anchors, "id long, class long, anchor long")
+    counted = anchors.groupBy("anchor").agg(F.min("class").alias("_a"), F.max("class").alias("_b"), F.count("*").alias("weight"))
     shared = staged(counted.filter("_a < _b").select("anchor", "weight"), "anchors")
     total = shared.agg(F.sum("weight")).first()[0] or 0
     found = attach(anchors, shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
-    own = staged(found.groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "own")
-    return staged(near(docs, F.col("id"), own, F.col("id")).join(own, "id").select("id", "text", "anchors"), "candidates")
+    own = staged(found.groupBy("class").agg(F.min("id").alias("id"), F.collect_set("anchor").alias("anchors")), "own")
+    return staged(near(rows, F.col("id"), own, F.col("id")).join(own, ["id", "class"]).select("id", "text", "anchors", "class"), "candidates")
 
 
 def paths(edges: DataFrame) -> DataFrame:
@@ -126,14 +143,14 @@ def paths(edges: DataFrame) -> DataFrame:
 
 def repeated_paths(docs: DataFrame) -> DataFrame:
     """(source, begin, words, occurrences): the compacted repeated spans by source coordinates."""
-    table = paths(candidates(docs).mapInArrow(_edges, EDGE))
+    table = paths(candidates(classes(docs)[0]).select("id", "text", "anchors").mapInArrow(_edges, EDGE))
     return table.groupBy("source", "begin").agg((F.max("at") - F.col("begin") + WINDOW).alias("words"), F.max("weight").alias("occurrences"))
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """(id, starts): the first words of the windows that a smaller document holds, by document."""
-    cands = candidates(docs)
-    edges = cands.mapInArrow(_edges, EDGE)
+def removed(rows: DataFrame) -> DataFrame:
+    """(id, class, starts): the first words of the windows that a smaller document holds, of documents that are no copies."""
+    cands = candidates(rows)
+    edges = cands.select("id", "text", "anchors").mapInArrow(_edges, EDGE)
     found = paths(edges)
     total = found.agg(F.sum("weight")).first()[0] or 0
     met = attach(edges.select("id", "pos", "edge", "second"), found, "edge", "weight", F.xxhash64("id", "pos"), total)
@@ -143,7 +160,7 @@ def removed(docs: DataFrame) -> DataFrame:
         own = edges.join(clash, "edge", "left_semi")
         least = own.groupBy("edge", "second").agg(F.min("id").alias("source"))
         sure = sure.unionByName(own.join(least, ["edge", "second"]).filter("source < id").select("id", "pos"))
-    return staged(sure.groupBy("id").agg(F.collect_list("pos").alias("starts")), "removed")
+    return staged(sure.groupBy("id").agg(F.collect_list("pos").alias("starts")).join(cands.select("id", "class"), "id"), "removed")
 
 
 def _covered(n: int, starts: np.ndarray) -> np.ndarray:
@@ -154,15 +171,18 @@ def _covered(n: int, starts: np.ndarray) -> np.ndarray:
 
 
 def _rebuilt(batches):
-    """id, n_words, n_removed, kept text (words joined by one space)."""
+    """(id, text[, starts, whole]) -> id, n_words, n_removed, kept text (words joined by one space)."""
     for batch in batches:
-        starts = batch.column(2) if batch.num_columns > 2 else None
+        told = batch.num_columns > 2
         for c in words.chunks(batch.column(1), lower=False):
             raw, rows = c.data.tobytes(), []
             for k in range(c.last - c.first):
                 a, b = int(c.bounds[k]), int(c.bounds[k + 1])
-                gone = starts[c.first + k].values if starts is not None else None
-                hit = _covered(b - a, np.array(gone)) if gone is not None else np.zeros(b - a, bool)
+                hit = np.zeros(b - a, bool)
+                if told and batch.column(3)[c.first + k].as_py():
+                    hit[:] = b - a >= WINDOW
+                elif told and (starts := batch.column(2)[c.first + k].values) is not None:
+                    hit = _covered(b - a, np.array(starts))
                 kept = b" ".join([raw[x:y] for x, y in zip(c.starts[a:b][~hit].tolist(), c.ends[a:b][~hit].tolist(), strict=True)])
                 rows.append((b - a, int(hit.sum()), kept.decode("utf-8", "surrogatepass")))
             n, less, text = zip(*rows, strict=True)
@@ -172,9 +192,11 @@ def _rebuilt(batches):
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, n_removed and the kept text of every row."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"))
-    gone = removed(docs)
+    rows, copies = classes(docs)
+    gone = removed(rows).withColumn("whole", F.lit(False)).unionByName(copies.withColumns({"starts": F.lit(None).cast("array<int>"), "whole": F.lit(True)}))
+    gone = staged(gone, "gone")
     kind = "id long, n_words long, n_removed long, kept string"
     # Only documents near a removal are shuffled to meet it; the filter's other hits find none.
     whole = near(docs, F.col("id"), gone, F.col("id"), hit=False).mapInArrow(_rebuilt, kind)
-    touched = near(docs, F.col("id"), gone, F.col("id")).join(gone, "id", "left").select("id", "text", "starts").mapInArrow(_rebuilt, kind)
+    touched = near(rows, F.col("id"), gone, F.col("id")).join(gone, ["id", "class"], "left").select("id", "text", "starts", "whole").mapInArrow(_rebuilt, kind)
     return whole.unionByName(touched)

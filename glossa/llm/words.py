@@ -109,13 +109,14 @@ def chunks(texts: pa.Array, is_word: np.ndarray = SPACE, lower: bool = True, mos
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Identity of every k consecutive words, by first word; the caller drops those that cross texts."""
-    n = len(words) - k + 1
-    if n <= 0:
+    n = len(words)
+    if n < k:
         return np.empty(0, U)
-    out = words[:n].copy()
-    for j in range(1, k):
-        out += words[j : j + n] * U(pow(_GRAM, j, 1 << 64))
-    return mix(out)
+    sums = np.empty(n + 1, U)
+    sums[0] = 0
+    np.multiply(words, _power(_GRAM, n)[:n], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    return mix((sums[k:] - sums[:-k]) * _power(pow(_GRAM, -1, 1 << 64), n)[: n - k + 1])
 
 
 def inner_starts(bounds: np.ndarray, k: int) -> np.ndarray:
