@@ -54,17 +54,20 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread: Col
     """Left join of ``rows`` with ``table`` (one row per ``key``, not null) without a hot task.
 
     ``weight`` is how many of the ``total`` rows have the key. Keys with over 1/HEAVY of all rows
-    number at most HEAVY, so that part of the table is broadcast; their rows then take a spread
-    key through the shuffle that joins the rest.
+    number at most HEAVY, so that part of the table is broadcast. Their rows, and those without a
+    key, go through the shuffle that joins the rest under ``spread`` in place of their key; what
+    that happens to meet there is not taken.
     """
     names = [c for c in table.columns if c != key]
+    kind = dict(table.dtypes)[key]
     floor = max(1, total // HEAVY)
     heavy = table.filter(F.col(weight) > floor).select(F.col(key).alias("_k"), F.struct(*names).alias("_heavy"))
-    light = table.filter(F.col(weight) <= floor).select(F.col(key).alias("_k2"), F.lit(0).cast("long").alias("_s2"), F.struct(*names).alias("_light"))
+    light = table.filter(F.col(weight) <= floor).select(F.col(key).alias("_k2"), F.struct(*names).alias("_light"))
     got = rows.join(F.broadcast(heavy), F.col(key) == F.col("_k"), "left").drop("_k")
-    got = got.withColumn("_s", F.when(F.col("_heavy").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(F.coalesce(spread, F.lit(1).cast("long"))))
-    got = got.join(light, (F.col(key) == F.col("_k2")) & (F.col("_s") == F.col("_s2")), "left")
-    both = F.coalesce(F.col("_heavy"), F.col("_light"))
+    plain = F.col("_heavy").isNull() & F.col(key).isNotNull()
+    got = got.withColumn("_at", F.when(plain, F.col(key)).otherwise(spread.cast(kind)))
+    got = got.join(light, F.col("_at") == F.col("_k2"), "left")
+    both = F.coalesce(F.col("_heavy"), F.when(plain, F.col("_light")))
     return got.select(*rows.columns, *[both[c].alias(c) for c in names])
 
 
