@@ -3,10 +3,11 @@
 1. Each document's set of five-word shingles gives a fingerprint (the node), ``BANDS * ROWS``
    minima, band keys of ``ROWS`` minima each, and a signature that packs the low ``BITS`` bits of
    ``SIGNATURE`` minima. At similarity 0.75 two sets share a band with probability 1 - 6e-9.
-2. Documents with one set are one node. In each band bucket all nodes are paired with the least one
-   (the hub): one row per node and bucket, never all pairs. Distinct pairs are confirmed exactly.
-3. Links found so far give components. Buckets of three nodes or more that still hold several
-   components are compared inside, in blocks: signatures estimate similarity from matching b-bit
+2. Documents with one set are one node. Each node is paired with the least hub (least node of a
+   band bucket) that it meets, one pair a node, never all pairs of a bucket. Pairs are confirmed
+   exactly and give components; then nodes meet their other hubs of another component.
+3. Buckets of three nodes or more that still hold several components are compared inside, in
+   blocks: signatures estimate similarity from matching b-bit
    codes, corrected for chance collisions, pairs under ``NEAR`` (5 standard errors below the
    threshold) are passed over, the others are confirmed on full sets, and only links that join
    components leave the block. A bucket is cut into block pairs, so no task holds all of it.
@@ -154,29 +155,43 @@ def _compare(_, table):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _mixed(features: DataFrame, label: DataFrame | None, total: int) -> DataFrame:
+    """(key, node, label, hub, hub_label, size, lo, hi, all) for the buckets whose nodes have several labels.
+
+    A node without a label is its own. The hub is the bucket's least node. Rows meet their bucket
+    once; no pair of members does.
+    """
+    rows = features.filter("node is not null").select("node", "bands")
+    if label is None:
+        rows = rows.withColumn("label", F.col("node"))
+    else:
+        rows = rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    held = rows.select("node", "label", F.explode("bands").alias("key"))
+    buckets = held.groupBy("key").agg(
+        F.min("node").alias("hub"), F.min_by("label", "node").alias("hub_label"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("weight")
+    )
+    buckets = staged(buckets.filter("lo < hi"), "buckets")
+    met = attach(held, buckets, "key", "weight", F.xxhash64("node"), total * BANDS)
+    return met.filter("hub is not null")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, kept for every row."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"))
     features = staged(docs.mapInArrow(_features, "id long, n long, node long, bands array<long>, codes binary"), "features")
     nodes = staged(features.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "nodes")
     total = nodes.agg(F.sum("copies")).first()[0] or 0
-    # Buckets: band keys that several nodes share.
-    held = features.filter("node is not null").select("node", F.explode("bands").alias("key"))
-    buckets = held.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_top"), F.count("*").alias("weight")).filter("hub < _top").drop("_top")
-    buckets = staged(buckets, "buckets")
-    members = attach(near(held, F.col("key"), buckets, F.col("key")), buckets, "key", "weight", F.xxhash64("node"), total * BANDS)
-    members = staged(members.filter("hub is not null").select("key", "hub", "node").distinct(), "members")
-    pairs = staged(members.filter("hub <> node").select("hub", "node").distinct(), "pairs")
-    # One document stands for each node that takes part; which row has it is told by id and node.
-    part = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
-    sets = staged(_node_sets(docs, nodes.join(part, "node", "left_semi").select("node", F.col("least").alias("rep"))), "sets")
-    one = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("_x"))
-    both = pairs.join(one, "hub").join(sets.select("node", F.col("shingles").alias("_y")), "node")
-    shared = F.size(F.array_intersect("_x", "_y"))
-    ok = both.filter(100 * shared >= LEVEL * (F.size("_x") + F.size("_y") - shared))
-    links = staged(ok.select(F.col("hub").alias("a"), F.col("node").alias("b")), "links")
+    # First each node meets the least hub of all its buckets: one pair a node.
+    first = staged(_mixed(features, None, total).groupBy("node").agg(F.min("hub").alias("hub")), "first")
+    sets = staged(_node_sets(docs, nodes.join(first.select("node"), "node", "left_semi").select("node", F.col("least").alias("rep"))), "sets")
+    links = staged(_confirmed(first.filter("hub <> node"), sets), "links")
     label = components(links)
-    more = _inside(members, label, features, sets)
+    # Then the other hubs, only where that left node and hub apart.
+    again = _mixed(features, label, total).filter("label <> hub_label").select("hub", "node").distinct()
+    links = staged(links.union(_confirmed(again.join(first, ["hub", "node"], "left_anti"), sets)), "links")
+    label = components(links)
+    # Then the members of a bucket among one another, where it still holds several components.
+    more = _inside(_mixed(features, label, total), features, sets)
     if not more.isEmpty():
         label = components(links.union(more))
     known = nodes.join(label.withColumnRenamed("label", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -187,6 +202,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of the (hub, node) pairs whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("_x")), "hub").join(sets.select("node", F.col("shingles").alias("_y")), "node")
+    shared = F.size(F.array_intersect("_x", "_y"))
+    return both.filter(100 * shared >= LEVEL * (F.size("_x") + F.size("_y") - shared)).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+
+
 def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) for wanted (node, rep): the set of one document with id rep and that node."""
     rows = near(docs, F.col("id"), wanted, F.col("rep")).join(wanted.withColumnRenamed("rep", "id"), "id")
@@ -202,18 +224,17 @@ def _checked_sets(batches):
         yield batch.filter(pa.array(ok, pa.bool_()))
 
 
-def _inside(members: DataFrame, label: DataFrame, features: DataFrame, sets: DataFrame) -> DataFrame:
+def _inside(mixed: DataFrame, features: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that share a bucket of three nodes or more."""
-    named = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("_a"), F.max("label").alias("_b"), F.sum(F.hash("node").cast("long")).alias("_sum")).filter("size > 2 and _a < _b")
+    mixed = mixed.select("key", "node", "label", "lo", "hi").distinct()
+    size = mixed.groupBy("key").agg(F.count("*").alias("size"), F.max("lo").alias("_a"), F.max("hi").alias("_b"), F.sum(F.hash("node").cast("long")).alias("_sum")).filter("size > 2")
     # Buckets with the same members need one comparison.
-    mixed = mixed.groupBy("size", "_sum", "_a", "_b").agg(F.min("key").alias("key")).select("key", "size")
-    rows = named.select("key", "node", "label").join(mixed, "key")
+    size = size.groupBy("size", "_sum", "_a", "_b").agg(F.min("key").alias("key")).select("key", "size")
+    rows = mixed.select("key", "node", "label").join(size, "key")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("key", "node", "label", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    codes = features.filter("node is not null").select("node", "codes")
-    codes = near(codes, F.col("node"), rows, F.col("node")).dropDuplicates(["node"])
+    rows = staged(rows.select("key", "node", "label", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")), "inside")
+    codes = near(features.filter("node is not null").select("node", "codes"), F.col("node"), rows, F.col("node")).dropDuplicates(["node"])
     rows = rows.join(codes, "node").join(sets, "node")
     return staged(rows.groupBy("key", "one", "two").applyInArrow(_compare, "a long, b long"), "links").distinct()
 
