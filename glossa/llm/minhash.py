@@ -133,22 +133,16 @@ def _sets(batches):
 
 
 def _compare(_, table):
-    """Links inside one block pair that join components not joined yet."""
-    side = table["block"].to_numpy()
-    first = side == table["one"][0].as_py()
+    """Links of one block of strays (left) with one block of members that join components not joined yet."""
+    stray = table["stray"].to_numpy(zero_copy_only=False)
     node, label = table["node"].to_numpy(), table["label"].to_numpy().copy()
     codes = np.frombuffer(b"".join(table["codes"].to_pylist()), np.uint8).reshape(len(node), -1)
     sets = [np.array(s.values, np.int64) for s in table["shingles"]]
-    left, right = np.flatnonzero(first), np.flatnonzero(~first)
-    same = table["one"][0].as_py() == table["two"][0].as_py()
-    if same:
-        right = left
-    found = []
+    left, right, found = np.flatnonzero(stray), np.flatnonzero(~stray), []
     if len(left) and len(right):
-        close = estimates(codes[left], codes[right]) >= NEAR
-        for x, y in zip(*np.nonzero(close), strict=True):
+        for x, y in zip(*np.nonzero(estimates(codes[left], codes[right]) >= NEAR), strict=True):
             i, j = left[x], right[y]
-            if label[i] != label[j] and (not same or i < j) and linked(sets[i], sets[j]):
+            if label[i] != label[j] and linked(sets[i], sets[j]):
                 found.append((node[i], node[j]))
                 label[label == label[j]] = label[i]
     a, b = zip(*found, strict=True) if found else ((), ())
@@ -225,24 +219,34 @@ def _checked_sets(batches):
 
 
 def _inside(mixed: DataFrame, features: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components that share a bucket of three nodes or more."""
-    mixed = mixed.select("key", "node", "label", "lo", "hi").distinct()
-    size = mixed.groupBy("key").agg(F.count("*").alias("size"), F.max("lo").alias("_a"), F.max("hi").alias("_b"), F.sum(F.hash("node").cast("long")).alias("_sum")).filter("size > 2")
+    """Links between components that share a bucket of three nodes or more.
+
+    Strays, the members outside a bucket's largest component, meet all members: strays and members
+    are dealt to blocks, and each block of strays meets each block of members. So a member is there
+    once for each block of strays, and where strays are few, once.
+    """
+    mixed = mixed.select("key", "node", "label").distinct()
+    sums = F.sum(F.xxhash64("node").cast("decimal(20,0)")).cast("string")
+    parts = mixed.groupBy("key", "label").agg(F.count("*").alias("n"), sums.alias("_sum"))
+    size = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max(F.struct("n", "label"))["label"].alias("top"), F.sum(F.col("_sum").cast("decimal(38,0)")).alias("_sum")).filter("size > 2")
     # Buckets with the same members need one comparison.
-    size = size.groupBy("size", "_sum", "_a", "_b").agg(F.min("key").alias("key")).select("key", "size")
-    rows = mixed.select("key", "node", "label").join(size, "key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = staged(rows.select("key", "node", "label", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")), "inside")
+    size = size.groupBy("size", "most", "top", "_sum").agg(F.min("key").alias("key")).drop("_sum")
+    rows = mixed.join(size, "key")
+    blocks, strays = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")
+    dealt = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = rows.filter("label <> top").select("key", "node", "label", F.lit(True).alias("stray"), dealt(strays).alias("one"), every(blocks).alias("two"))
+    right = rows.select("key", "node", "label", F.lit(False).alias("stray"), dealt(blocks).alias("two"), every(strays).alias("one"))
+    rows = staged(left.unionByName(right), "inside")
     codes = near(features.filter("node is not null").select("node", "codes"), F.col("node"), rows, F.col("node")).dropDuplicates(["node"])
-    rows = rows.join(codes, "node").join(sets, "node")
+    rows = rows.join(codes.join(sets, "node"), "node")
     return staged(rows.groupBy("key", "one", "two").applyInArrow(_compare, "a long, b long"), "links").distinct()
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the ids that ``near_duplicates`` keeps, all columns; rows that repeat a kept id stay."""
     found = near_duplicates(docs, key, text_col)
-    gone = staged(found.filter(~F.col("kept")).select("id").distinct(), "dropped")
-    rest = near(docs, F.col(key).cast("long"), gone, F.col("id"), hit=False)
-    maybe = near(docs, F.col(key).cast("long"), gone, F.col("id"))
-    return rest.unionByName(maybe.join(gone, F.col(key).cast("long") == F.col("id"), "left_anti"))
+    gone = staged(found.filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "dropped")
+    own = F.col(key).cast("long")
+    rest = near(docs, own, gone, F.col("_gone"), hit=False)
+    return rest.unionByName(near(docs, own, gone, F.col("_gone")).join(gone, own == F.col("_gone"), "left_anti"))
