@@ -1,10 +1,10 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context-window scores.
 
 The lexicon is a seed list plus terms mined from labelled training rows (whole words and word
-stems, by the lower confidence bound of their log-odds). Its fuzzy part, terms of five letters or
-more, becomes one deterministic automaton: the product of the lexicon trie with the Levenshtein
-automaton of each term (one edit, two from eight letters on). All words of a chunk step through its
-table together; most die after three bytes. Hits inside quotation marks or beside a reporting verb
+stems, by the lower confidence bound of their log-odds). Its fuzzy part, all terms of five letters or
+more, becomes deterministic automata of BLOCK terms each: the product of the terms' trie with the
+Levenshtein automaton of each term (one edit, two from eight letters on; letters are code points).
+All different words of a chunk step through their tables together; most die after three letters. Hits inside quotation marks or beside a reporting verb
 count apart, and the weight of the densest window of ``SPAN`` words is a feature, so that a term
 that is quoted once scores below abuse. A logistic model joins the features.
 
@@ -42,6 +42,7 @@ gilipollas cabrón hijoputa imbécil estúpido basura escoria pendejo
 REPORTING = re.compile(r"\b(?:said|says|called|calls|wrote|quote[sd]?|quoting|termed|the word|the term|sagte|nannte|a dit|appelle|dijo|llamó)\b", re.I)
 TRAIN_ROWS, TERMS, SPAN, SEED_WEIGHT, LEAST = 10_000, 5000, 25, 3.0, 1.5
 STEMS = (5, 7)
+BLOCK = 25
 THRESHOLD = 0.7
 FEATURES = 7
 #: Bias and weights where the labels have one class only.
@@ -49,13 +50,13 @@ DEFAULT = np.array([-4.0, 1.0, 1.0, 1.0, 0.5, 0.5, 0.0, 1.0])
 
 
 class Fuzzy:
-    """One table for all terms: states are sets of (trie node, edits spent, edits allowed)."""
+    """One table for some terms: states are sets of (trie node, edits spent, edits allowed)."""
 
     def __init__(self, terms: list[str]):
         trie: list[dict[int, int]] = [{}]
         ends: dict[int, list[int]] = defaultdict(list)
         self.terms = terms
-        raw = [t.encode() for t in terms]
+        raw = [tuple(map(ord, t)) for t in terms]
         # a node's budget is the largest of the terms below it; a term checks its own at its end
         budget = [0]
         for k, t in enumerate(raw):
@@ -70,14 +71,13 @@ class Fuzzy:
                 budget[node] = max(budget[node], most)
             ends[node].append(k)
         letters = sorted({b for t in raw for b in t})
-        self.classes = np.zeros(256, np.int64)  # 0: a byte that no term holds
-        for i, b in enumerate(letters):
-            self.classes[b] = i + 1
+        self.classes = np.zeros(max(letters, default=0) + 2, np.int64)  # 0: a letter that no term holds
+        self.classes[letters] = np.arange(1, len(letters) + 1)
         symbols = [-1, *letters]
 
         def closed(pairs: dict[int, int]) -> frozenset:
             todo = list(pairs)
-            while todo:  # deletions from the term: go on in the trie without a byte of the word
+            while todo:  # deletions from the term: go on in the trie without a letter of the word
                 node = todo.pop()
                 for child in trie[node].values():
                     e = pairs[node] + 1
@@ -90,7 +90,7 @@ class Fuzzy:
             out: dict[int, int] = {}
             for node, e in state:
                 if e < budget[node] and out.get(node, 9) > e + 1:
-                    out[node] = e + 1  # a byte the term lacks
+                    out[node] = e + 1  # a letter the term lacks
                 for b, child in trie[node].items():
                     d = e + (b != symbol)
                     if d <= budget[child] and out.get(child, 9) > d:
@@ -105,8 +105,10 @@ class Fuzzy:
         at = 1
         while at < len(order):
             row = []
+            follow = {b for node, _ in order[at] for b in trie[node]}
+            other = step(order[at], -1)
             for s in symbols:
-                to = step(order[at], s)
+                to = step(order[at], s) if s in follow else other
                 if to not in number:
                     number[to] = len(order)
                     order.append(to)
@@ -115,19 +117,23 @@ class Fuzzy:
             best = min(((e, k) for node, e in order[at] for k in ends.get(node, ()) if e <= self.edits(raw[k])), default=None)
             accept.append(-1 if best is None else best[1])
             at += 1
-        self.table, self.accept = np.array(table, np.int32), np.array(accept, np.int32)
+        self.table, self.accept = np.array(table, np.uint16 if len(table) < 1 << 16 else np.int32), np.array(accept, np.int32)
         self.longest = max(map(len, raw), default=0) + 2
         self.shortest = min(map(len, raw), default=0) - 2
 
     @staticmethod
-    def edits(term: bytes) -> int:
+    def edits(term) -> int:
         return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
     def match(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(word indices, term numbers) of the words that some term accepts."""
+        """(word indices, term numbers) of the words of a text in UTF-8 that some term accepts."""
+        return self.walk(*letters_of(data, starts, ends))
+
+    def walk(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = ends - starts
         live = np.flatnonzero((sizes <= self.longest) & (sizes >= max(1, self.shortest)))
-        state = np.ones(len(live), np.int32)
+        letters = self.classes[np.minimum(letters.astype(np.int64), len(self.classes) - 1)]
+        state = np.ones(len(live), self.table.dtype)
         found, which = [], []
         j = 0
         while len(live):
@@ -137,19 +143,34 @@ class Fuzzy:
                 found.append(live[done][k >= 0])
                 which.append(k[k >= 0])
                 live, state = live[~done], state[~done]
-            state = self.table[state, self.classes[data[starts[live] + j]]]
+            state = self.table[state, letters[starts[live] + j]]
             ok = state > 0
             live, state = live[ok], state[ok]
             j += 1
         return (np.concatenate(found), np.concatenate(which)) if found else (np.empty(0, np.int64), np.empty(0, np.int32))
 
 
+def letters_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, and the words' offsets in them."""
+    raw = data.tobytes()
+    if raw.isascii():
+        return data, starts, ends
+    at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return np.frombuffer(raw.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32), at[starts], at[ends]
+
+
+def fuzzy_blocks(terms: list[str]) -> list[Fuzzy]:
+    """Automata that hold all terms between them; neighbours in the order of the alphabet share one."""
+    terms = sorted(terms)
+    return [Fuzzy(terms[i : i + BLOCK]) for i in range(0, len(terms), BLOCK)]
+
+
 class Lexicon:
     def __init__(self, weights: dict[str, float], stems: dict[str, float]):
         exact = words_of(list(weights))
         order = np.argsort(exact)
         self.hashes, self.weight = exact[order], np.array(list(weights.values()))[order]
-        self.fuzzy = Fuzzy([t for t in SEED if t.isascii()] + [t for t, w in sorted(weights.items(), key=lambda x: -x[1])[:150] if len(t) >= 5 and t not in SEED and t.isascii()])
+        self.fuzzy = fuzzy_blocks([*{*SEED, *[t for t in weights if len(t) >= 5]}])
         self.stems: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in {len(s.encode()) for s in stems}:
             own = {s: w for s, w in stems.items() if len(s.encode()) == size}
@@ -171,8 +192,12 @@ class Lexicon:
             stem[long] = np.maximum(stem[long], _looked_up(h, w, words.hash_spans(c.data, c.starts[long], c.starts[long] + size)))
         stem[weight > 0] = 0
         near = np.zeros(len(c.hashes))
-        at, _ = self.fuzzy.match(c.data, c.starts, c.ends)
-        near[at] = SEED_WEIGHT
+        _, first, same = np.unique(c.hashes, return_index=True, return_inverse=True)
+        spelt = letters_of(c.data, c.starts[first], c.ends[first])
+        hit = np.zeros(len(first), bool)
+        for fuzzy in self.fuzzy:
+            hit[fuzzy.walk(*spelt)[0]] = True
+        near[hit[same]] = SEED_WEIGHT
         near[weight > 0] = 0
         quoted = np.zeros(len(c.hashes), bool)
         for i in np.flatnonzero((weight > 0) | (near > 0)):

@@ -1,15 +1,18 @@
 """Results that no cap, sample or short cut may change."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_operators import ROWS, SCHEMA, SPACE, lower
 
-from glossa.llm import scoring
+from glossa.llm import scoring, toxicity, words
 
 
 def whole_model_scores():
@@ -44,3 +47,15 @@ def test_every_repeated_pair_has_its_arc(spark, monkeypatch, held):
     for a, b in zip(sorted((r["key"] if r["key"] is not None else -1, r["n_tokens"], round(r["score"], 5)) for r in got), whole_model_scores(), strict=True):
         assert a[:2] == b[:2]
         assert a[2] == pytest.approx(b[2], abs=1e-4)
+
+
+def test_misspellings_of_all_lexicon_terms_are_found():
+    rng = random.Random(8)
+    terms = ["".join(rng.choices("bcdfghklmnprstvwz", k=9)) for _ in range(400)] + ["größenwahn"]
+    lexicon = toxicity.Lexicon({**dict.fromkeys(toxicity.SEED, 3.0), **{t: 2.0 for t in terms}}, {})
+    wrong = [t[:3] + "x" + t[4:] for t in terms] + ["grossenwahn", "cretin", "enculè", "imbécill"]
+    (c,) = words.chunks(pa.array([f"{w} é" for w in wrong]), words.ALNUM)
+    near = lexicon.features(c)[:, 4]
+    assert [w for w, x in zip(wrong, near, strict=True) if not x] == ["grossenwahn"]  # three edits
+    (c,) = words.chunks(pa.array(["harmless", "crtn", "imbaacill"]), words.ALNUM)
+    assert not np.any(lexicon.features(c)[:, 4])
