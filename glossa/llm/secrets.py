@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, plus strings that stay incompressible in a sensitive context.
 
 The base kinds (assign, access, hex) are leftmost non-overlapping pattern matches. The method adds
-kind ``novel``: a long token after a sensitive word is compressed together with the text around it
+kind ``novel``: every long token near a sensitive word, on either side, is compressed together with the text around it
 by zstandard primed with a dictionary of identifiers and code; where its marginal compressed bytes
 reach ``NOVEL`` of its length, neither the surroundings nor the dictionary explain it, and it is
 reported. Base spans are never dropped; a novel span that overlaps one is not added.
@@ -15,6 +15,7 @@ empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from hashlib import sha256
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Words one of which a text must hold (lower-cased) for the searches above to find anything.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 SENSITIVE_WORDS = ("passw", "secret", "token", "credential", "key", "bearer", "auth", "signature", "cookie")
-#: Code points after a sensitive word in which a candidate may start, code points of surroundings
+#: Code points after or before a sensitive word in which a candidate may start, code points of surroundings
 #: on either side, and the least marginal bytes a code point.
 REACH, AROUND, NOVEL = 48, 256, 0.8
 #: Identifiers and code that real source holds; candidates made of these compress away.
@@ -75,21 +76,18 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
 def novel_spans(text: str, low: str, taken: list[tuple[int, int, int]], novelty: Novelty, least: float = NOVEL) -> list[tuple[int, int, int]]:
     if not any(w in low for w in SENSITIVE_WORDS):
         return []
-    found = {}
-    for word in SENSITIVE.finditer(text):
-        near = CANDIDATE.search(text, word.end(), word.end() + REACH + 16)
-        if not near or near.start() in found:
-            continue
-        m = CANDIDATE.match(text, near.start())
+    ends, starts = zip(*[(m.end(), m.start()) for m in SENSITIVE.finditer(text)]) if SENSITIVE.search(text) else ((), ())
+    found = []
+    for m in CANDIDATE.finditer(text) if ends else ():
         start, end = m.span()
-        while start and re.match(r"[A-Za-z0-9+/_-]", text[start - 1]):  # a word inside the token itself
-            start -= 1
-        s = m.group()
-        if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(a < end and start < b for a, _, b in taken):
+        k = bisect_left(ends, start - REACH)  # the first word that ends late enough
+        if k == len(ends) or starts[k] >= max(end, start + REACH + 1):
+            continue
+        if any(a < end and start < b for a, _, b in taken):
             continue
         if novelty.marginal(text[max(0, start - AROUND) : start], text[start:end], text[end : end + AROUND]) >= least * (end - start):
-            found[m.start()] = (start, 3, end)
-    return list(found.values())
+            found.append((start, 3, end))
+    return found
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:

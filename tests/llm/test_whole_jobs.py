@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import ROWS, SCHEMA, SPACE, lower
 
-from glossa.llm import scoring, toxicity, words
+from glossa.llm import scoring, secrets, toxicity, words
 
 
 def whole_model_scores():
@@ -59,3 +59,16 @@ def test_misspellings_of_all_lexicon_terms_are_found():
     assert [w for w, x in zip(wrong, near, strict=True) if not x] == ["grossenwahn"]  # three edits
     (c,) = words.chunks(pa.array(["harmless", "crtn", "imbaacill"]), words.ALNUM)
     assert not np.any(lexicon.features(c)[:, 4])
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("the secret for AbstractFactoryController is q8Zt1LwX0vR5nYb2KpM7", ["q8Zt1LwX0vR5nYb2KpM7"]),
+        ("q8Zt1LwX0vR5nYb2KpM7 is the secret", ["q8Zt1LwX0vR5nYb2KpM7"]),
+        ("token kQzTbWxRvNpLsJdHgFmC or q8Zt1LwX0vR5nYb2KpM7", ["kQzTbWxRvNpLsJdHgFmC", "q8Zt1LwX0vR5nYb2KpM7"]),
+        ("token" + " far" * 20 + " q8Zt1LwX0vR5nYb2KpM7" + " far" * 20 + " token", []),
+    ],
+)
+def test_every_candidate_near_a_sensitive_word_is_measured(text, want):
+    assert [text[a:b] for a, _, b in secrets.novel_spans(text, text.lower(), [], secrets.Novelty())] == want
