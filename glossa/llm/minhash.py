@@ -3,15 +3,16 @@
 1. Each document's set of five-word shingles gives a fingerprint (the node), ``BANDS * ROWS``
    minima, band keys of ``ROWS`` minima each, and a signature that packs the low ``BITS`` bits of
    ``SIGNATURE`` minima. At similarity 0.75 two sets share a band with probability 1 - 6e-9.
-2. Documents with one set are one node. Each node is paired with the least hub (least node of a
-   band bucket) that it meets, one pair a node, never all pairs of a bucket. Pairs are confirmed
-   exactly and give components; then nodes meet their other hubs of another component.
-3. Buckets of three nodes or more that still hold several components are compared inside, in
-   blocks: signatures estimate similarity from matching b-bit
-   codes, corrected for chance collisions, pairs under ``NEAR`` (5 standard errors below the
-   threshold) are passed over, the others are confirmed on full sets, and only links that join
-   components leave the block. A bucket is cut into block pairs, so no task holds all of it.
-4. The components of both kinds of links are attached to the documents.
+2. Documents with one set are one node. Band buckets that hold two nodes or more are kept, each with
+   its hub, the least node. A node is paired with the least hub that it meets, one pair a node, never
+   all pairs of a bucket; the confirmed pairs give components, and then nodes meet their other hubs
+   of another component.
+3. Buckets of three nodes or more that still hold several components are compared inside, in blocks
+   that are bounded by members and by bytes; only links that join components leave a block.
+4. Before any confirmation, in steps 2 and 3, the packed signatures estimate the similarity: the bit
+   count of the codes that agree, corrected for chance collisions. Pairs under ``NEAR`` are passed
+   over (a pair at 0.75 is so with probability 2e-10); the others are confirmed on full sets.
+5. The components are attached to the documents.
 
 Nodes are 64-bit fingerprints of whole sets: two sets of n would share one with probability
 n * n / 2**65.
@@ -23,20 +24,24 @@ the least id there is; an empty table gives an empty result; other columns are i
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
 from .components import components
-from .plan import attach, near, staged
+from .plan import attach, discard, meet, near, staged
 
 K, BANDS, ROWS, SIGNATURE, BITS = 5, 50, 4, 128, 4
 #: Links have 100 * intersection >= LEVEL * union.
 LEVEL = 75
-NEAR = 0.56
-BLOCK = 512
+NEAR = 0.5
+#: Members, and bytes of shingles, that a block holds on either side (a single set may hold more).
+BLOCK, BLOCK_BYTES = 512, 16 << 20
 
 _rng = np.random.default_rng(75)
 _FACTORS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,6 +103,18 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / SIGNATURE - chance) / (1 - chance)
 
 
+def alike(a: Column, b: Column) -> Column:
+    """The same estimate of two signatures given as arrays of longs: nibbles that differ, by bit count."""
+    differ = []
+    for i in range(SIGNATURE * BITS // 64):
+        x = a[i].bitwiseXOR(b[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(0x1111111111111111)
+        differ.append(F.bit_count(x))
+    chance = 2.0**-BITS
+    return (1 - reduce(add, differ) / SIGNATURE - chance) / (1 - chance)
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= LEVEL * (len(a) + len(b) - both)
@@ -105,22 +122,19 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _features(batches):
     for batch in batches:
-        for c in words.chunks(batch.column(1)):
+        for c in words.chunks(batch.column(2)):
             sets = shingle_sets(c)
             some = [i for i, s in enumerate(sets) if len(s)]
             node = np.zeros(len(sets), np.uint64)
             node[some] = [fingerprint(sets[i]) for i in some]
-            keys, codes = np.zeros((len(sets), BANDS), np.uint64), [None] * len(sets)
+            keys, codes = np.zeros((len(sets), BANDS), np.uint64), np.zeros((len(sets), SIGNATURE * BITS // 64), np.int64)
             if some:
                 low = minima([sets[i] for i in some])
                 keys[some] = band_keys(low)
-                for i, row in zip(some, packed(low), strict=True):
-                    codes[i] = row.tobytes()
-            at = np.arange(len(sets) + 1) * BANDS
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(c.first, c.last - c.first), pa.array([len(s) for s in sets], pa.int64()), pa.array(node.view(np.int64), mask=node == 0), words.list_array(keys.ravel().view(np.int64), at, pa.int64()), pa.array(codes, pa.binary())],
-                names=["id", "n", "node", "bands", "codes"],
-            )
+                codes[some] = packed(low).view(np.int64)
+            lists = [words.list_array(x.ravel().view(np.int64), np.arange(len(sets) + 1) * x.shape[1], pa.int64()) for x in (keys, codes)]
+            own = [batch.column(i).slice(c.first, c.last - c.first) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([len(s) for s in sets], pa.int64()), pa.array(node.view(np.int64), mask=node == 0), *lists], names=["id", "text_key", "n", "node", "bands", "codes"])
 
 
 def _sets(batches):
@@ -136,7 +150,7 @@ def _compare(_, table):
     """Links of one block of strays (left) with one block of members that join components not joined yet."""
     stray = table["stray"].to_numpy(zero_copy_only=False)
     node, label = table["node"].to_numpy(), table["label"].to_numpy().copy()
-    codes = np.frombuffer(b"".join(table["codes"].to_pylist()), np.uint8).reshape(len(node), -1)
+    codes = table["codes"].combine_chunks().flatten().to_numpy().view(np.uint8).reshape(len(node), -1)
     sets = [np.array(s.values, np.int64) for s in table["shingles"]]
     left, right, found = np.flatnonzero(stray), np.flatnonzero(~stray), []
     if len(left) and len(right):
@@ -149,104 +163,135 @@ def _compare(_, table):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _mixed(features: DataFrame, label: DataFrame | None, total: int) -> DataFrame:
-    """(key, node, label, hub, hub_label, size, lo, hi, all) for the buckets whose nodes have several labels.
+def buckets(features: DataFrame, total: int) -> DataFrame:
+    """(key, node, hub, n): the members of the band buckets that hold two nodes or more, each once.
 
-    A node without a label is its own. The hub is the bucket's least node. Rows meet their bucket
-    once; no pair of members does.
+    The hub is the bucket's least node. Rows meet their bucket once; no pair of members does.
     """
-    rows = features.filter("node is not null").select("node", "bands")
-    if label is None:
-        rows = rows.withColumn("label", F.col("node"))
-    else:
-        rows = rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    held = rows.select("node", "label", F.explode("bands").alias("key"))
-    buckets = held.groupBy("key").agg(
-        F.min("node").alias("hub"), F.min_by("label", "node").alias("hub_label"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("weight")
-    )
-    buckets = staged(buckets.filter("lo < hi"), "buckets")
-    met = attach(held, buckets, "key", "weight", F.xxhash64("node"), total * BANDS)
-    return met.filter("hub is not null")
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, kept for every row."""
-    docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"))
-    features = staged(docs.mapInArrow(_features, "id long, n long, node long, bands array<long>, codes binary"), "features")
-    nodes = staged(features.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "nodes")
+    held = features.filter("node is not null").select("node", "n", F.explode("bands").alias("key"))
+    found = held.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_last"), F.count("*").alias("weight"))
+    found = staged(found.filter("hub < _last").drop("_last"), "buckets")
+    met = attach(near(held, F.col("key"), found, F.col("key")), found, "key", "weight", F.xxhash64("node"), total * BANDS).filter("hub is not null")
+    met = staged(met.select("key", "node", "hub", "n").distinct(), "members")
+    discard(found)
+    return met
+
+
+def labelled(met: DataFrame, label: DataFrame) -> DataFrame:
+    """Members with their label; a node without one is its own."""
+    return met.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def apart(met: DataFrame, label: DataFrame) -> DataFrame:
+    """(hub, node) of the members whose hub has another label."""
+    hubs = met.groupBy("hub").agg(F.count("*").alias("weight"))
+    hubs = hubs.join(label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
+    rows = attach(labelled(met, label), hubs, "hub", "weight", F.xxhash64("node"), met.count())
+    return rows.filter("label <> hub_label").select("hub", "node").distinct()
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """id, text_key, n, component for every row of (id, text). text_key is a hash of the text."""
+    docs = docs.select("id", F.xxhash64("text").alias("text_key"), "text")
+    kind = "id long, text_key long, n long, node long, bands array<long>, codes array<long>"
+    features = staged(docs.mapInArrow(_features, kind), "features")
+    found = features.filter("node is not null").groupBy("node")
+    nodes = found.agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.min(F.struct("id", "text_key")).alias("rep"), F.any_value("n").alias("n"), F.any_value("codes").alias("codes"))
+    nodes = staged(nodes, "nodes")
     total = nodes.agg(F.sum("copies")).first()[0] or 0
+    met = buckets(features, total)
+    sets = staged(_node_sets(docs, staged(nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "rep"), "wanted")), "sets")
     # First each node meets the least hub of all its buckets: one pair a node.
-    first = staged(_mixed(features, None, total).groupBy("node").agg(F.min("hub").alias("hub")), "first")
-    sets = staged(_node_sets(docs, nodes.join(first.select("node"), "node", "left_semi").select("node", F.col("least").alias("rep"))), "sets")
-    links = staged(_confirmed(first.filter("hub <> node"), sets), "links")
+    first = staged(met.groupBy("node").agg(F.min("hub").alias("hub")).filter("hub <> node").select("hub", "node"), "pairs")
+    links = staged(confirmed(first, nodes, sets), "links")
     label = components(links)
     # Then the other hubs, only where that left node and hub apart.
-    again = _mixed(features, label, total).filter("label <> hub_label").select("hub", "node").distinct()
-    links = staged(links.union(_confirmed(again.join(first, ["hub", "node"], "left_anti"), sets)), "links")
-    label = components(links)
+    again = staged(apart(met, label).join(first, ["hub", "node"], "left_anti"), "pairs")
+    if not again.isEmpty():
+        links = staged(links.union(confirmed(again, nodes, sets)), "links")
+        label = components(links)
     # Then the members of a bucket among one another, where it still holds several components.
-    more = _inside(_mixed(features, label, total), features, sets)
+    more = _inside(labelled(met, label), nodes, sets)
     if not more.isEmpty():
         label = components(links.union(more))
     known = nodes.join(label.withColumnRenamed("label", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("least").alias("component"), F.sum("copies").alias("size"))
-    table = attach(known, least, "root", "size", F.xxhash64("node"), total).select("node", "component", "copies")
-    out = attach(features.select("id", "n", "node"), table, "node", "copies", F.xxhash64("id"), total)
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    table = staged(attach(known.select("root", "node", "copies"), least, "root", "size", F.xxhash64("node"), total).select("node", "component", "copies"), "components")
+    discard(nodes, met, sets, first, again)
+    out = attach(features.select("id", "text_key", "n", "node"), table, "node", "copies", F.xxhash64("id"), total)
+    return out.withColumn("component", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))).drop("node", "copies")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) of the (hub, node) pairs whose full sets are similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("_x")), "hub").join(sets.select("node", F.col("shingles").alias("_y")), "node")
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id, kept for every row."""
+    out = classes(docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")))
+    return out.select("id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of the staged (hub, node) pairs that are linked: by size, by signature, then by full sets."""
+    about = lambda name: nodes.select(F.col("node").alias(name), F.col("n").alias(f"_n_{name}"), F.col("codes").alias(f"_codes_{name}"))
+    hubs = pairs.groupBy("hub").agg(F.count("*").alias("weight")).join(about("hub"), "hub")
+    both = attach(pairs.join(about("node"), "node"), hubs, "hub", "weight", F.xxhash64("node"), pairs.count())
+    small, large = F.least("_n_hub", "_n_node"), F.greatest("_n_hub", "_n_node")
+    likely = both.filter((100 * small >= LEVEL * large) & (alike(F.col("_codes_hub"), F.col("_codes_node")) >= NEAR))
+    likely = staged(likely.select("hub", "node"), "likely")
+    own = lambda name, shingles: sets.select(F.col("node").alias(name), F.col("shingles").alias(shingles))
+    both = meet(likely, own("hub", "_x"), "hub", F.xxhash64("node"), lambda dealt: dealt.join(own("node", "_y"), "node"))
     shared = F.size(F.array_intersect("_x", "_y"))
     return both.filter(100 * shared >= LEVEL * (F.size("_x") + F.size("_y") - shared)).select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
 
 def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) for wanted (node, rep): the set of one document with id rep and that node."""
-    rows = near(docs, F.col("id"), wanted, F.col("rep")).join(wanted.withColumnRenamed("rep", "id"), "id")
+    """(node, shingles) for wanted (node, rep): the set of one document with that id and text key."""
+    name = lambda of: F.concat_ws("/", F.col(f"{of}id"), F.col(f"{of}text_key"))
+    rows = near(docs, F.col("text_key"), wanted, F.col("rep.text_key")).withColumn("_row", name("")).dropDuplicates(["_row"])
+    rows = rows.join(wanted.select("node", name("rep.").alias("_row")), "_row")
     sets = rows.select("node", "text").mapInArrow(_checked_sets, "node long, shingles array<long>")
     return sets.dropDuplicates(["node"])
 
 
 def _checked_sets(batches):
-    """Of _sets, only rows whose text has the node's fingerprint: an id may name several texts."""
+    """Of _sets, only rows whose text has the node's fingerprint."""
     for batch in _sets(batches):
         node, shingles = batch.column(0), batch.column(1)
         ok = [len(s) > 0 and int(fingerprint(np.array(s.values, np.int64).view(np.uint64)).view(np.int64)) == n.as_py() for n, s in zip(node, shingles, strict=True)]
         yield batch.filter(pa.array(ok, pa.bool_()))
 
 
-def _inside(mixed: DataFrame, features: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components that share a bucket of three nodes or more.
+def _inside(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components that share a bucket of three nodes or more; members: (key, node, label, n).
 
     Strays, the members outside a bucket's largest component, meet all members: strays and members
     are dealt to blocks, and each block of strays meets each block of members. So a member is there
     once for each block of strays, and where strays are few, once.
     """
-    mixed = mixed.select("key", "node", "label").distinct()
     sums = F.sum(F.xxhash64("node").cast("decimal(20,0)")).cast("string")
-    parts = mixed.groupBy("key", "label").agg(F.count("*").alias("n"), sums.alias("_sum"))
-    size = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max(F.struct("n", "label"))["label"].alias("top"), F.sum(F.col("_sum").cast("decimal(38,0)")).alias("_sum")).filter("size > 2")
+    parts = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n").alias("mass"), sums.alias("_sum"))
+    size = parts.groupBy("key").agg(
+        F.count("*").alias("labels"), F.sum("n").alias("size"), F.sum("mass").alias("mass"), F.max(F.struct("n", "label", "mass")).alias("top"), F.sum(F.col("_sum").cast("decimal(38,0)")).alias("_sum")
+    ).filter("labels > 1 and size > 2")
+    size = size.select("key", "size", "mass", F.col("top.label").alias("top"), (F.col("size") - F.col("top.n")).alias("other"), (F.col("mass") - F.col("top.mass")).alias("other_mass"), "_sum")
     # Buckets with the same members need one comparison.
-    size = size.groupBy("size", "most", "top", "_sum").agg(F.min("key").alias("key")).drop("_sum")
-    rows = mixed.join(size, "key")
-    blocks, strays = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")
+    size = staged(size.groupBy("size", "mass", "top", "other", "other_mass", "_sum").agg(F.min("key").alias("key")).drop("_sum"), "mixed")
+    if size.isEmpty():
+        return size.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    rows = attach(members.select("key", "node", "label"), size, "key", "size", F.xxhash64("node"), members.count()).filter("size is not null")
+    count = lambda n, mass: F.ceil(F.greatest(F.col(n) / BLOCK, F.col(mass) * 8 / BLOCK_BYTES)).cast("int")
+    blocks, strays = count("size", "mass"), count("other", "other_mass")
     dealt = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = rows.filter("label <> top").select("key", "node", "label", F.lit(True).alias("stray"), dealt(strays).alias("one"), every(blocks).alias("two"))
     right = rows.select("key", "node", "label", F.lit(False).alias("stray"), dealt(blocks).alias("two"), every(strays).alias("one"))
-    rows = staged(left.unionByName(right), "inside")
-    codes = near(features.filter("node is not null").select("node", "codes"), F.col("node"), rows, F.col("node")).dropDuplicates(["node"])
-    rows = rows.join(codes.join(sets, "node"), "node")
+    rows = left.unionByName(right).join(nodes.select("node", "codes"), "node").join(sets, "node")
     return staged(rows.groupBy("key", "one", "two").applyInArrow(_compare, "a long, b long"), "links").distinct()
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the ids that ``near_duplicates`` keeps, all columns; rows that repeat a kept id stay."""
-    found = near_duplicates(docs, key, text_col)
-    gone = staged(found.filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct(), "dropped")
-    own = F.col(key).cast("long")
-    rest = near(docs, own, gone, F.col("_gone"), hit=False)
-    return rest.unionByName(near(docs, own, gone, F.col("_gone")).join(gone, own == F.col("_gone"), "left_anti"))
+    """The rows that ``near_duplicates`` keeps, all columns; rows that repeat a kept id and text stay."""
+    found = classes(docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")))
+    gone = staged(found.filter(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_gone"), F.col("text_key").alias("_text")).distinct(), "dropped")
+    own = F.xxhash64(text_col)
+    rest = near(docs, own, gone, F.col("_text"), hit=False)
+    some = near(docs, own, gone, F.col("_text"))
+    return rest.unionByName(some.join(gone, F.col(key).cast("long").eqNullSafe(F.col("_gone")) & (own == F.col("_text")), "left_anti"))

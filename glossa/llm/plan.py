@@ -1,4 +1,4 @@
-"""Plan helpers: shared staging, skew-safe attachment, bounded key filters."""
+"""Plan helpers: shared staging, skew-safe joins, bounded key filters."""
 
 from __future__ import annotations
 
@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 
 #: At most so many heavy keys are broadcast: a key is heavy from a HEAVY-th of all rows on.
 HEAVY = 1000
-#: Buckets of a membership filter: at most so many longs are broadcast.
-FILTER_BUCKETS = 1 << 18
+#: Bits of a membership filter: FILTER_SPACE for each wanted key, between a page and MOST_BITS (16 MB broadcast).
+PAGE, FILTER_SPACE, MOST_BITS = 1 << 15, 16, 1 << 27
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (tests), one under the warehouse."""
+    """The folder that spark.checkpoint.dir names; where it is unset in local mode (tests), one under the warehouse.
+
+    On a cluster an unset folder raises: executors do not share the driver's.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
@@ -41,7 +46,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables; only where all that reads them has been staged in its turn."""
+    for t in tables:
+        drop_folder(t.sparkSession, t.staged_at)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -71,15 +84,36 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread: Col
     return got.select(*rows.columns, *[both[c].alias(c) for c in names])
 
 
-def bucket_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_BUCKETS))
+def meet(rows: DataFrame, table: DataFrame, key: str, spread: Column, widen=lambda dealt: dealt) -> DataFrame:
+    """Inner join of ``rows`` with a ``table`` of wide rows (one per ``key``), without a hot task or a broadcast of it.
+
+    Rows of a key that holds over 1/HEAVY of all are dealt, by ``spread``, to as many parts as it has
+    such shares, and the key's row of the table is repeated for each part: at most HEAVY repeats in
+    all. Only those keys and their numbers of parts are broadcast. ``widen`` adds wide columns to the
+    rows once they are dealt. ``rows`` is read three times: stage it.
+    """
+    total = rows.count()
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max(1, total // HEAVY))
+    hot = F.broadcast(counts.select(F.col(key).alias("_k"), F.ceil(F.col("_n") * HEAVY / max(total, 1)).cast("int").alias("_parts")))
+    dealt = rows.join(hot, F.col(key) == F.col("_k"), "left")
+    dealt = dealt.withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(spread, F.col("_parts"))).cast("int")).drop("_k", "_parts")
+    each = table.join(hot, F.col(key) == F.col("_k"), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    return widen(dealt).join(each.drop("_k", "_parts"), [key, "_part"]).drop("_part")
 
 
 def near(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, hit: bool = True) -> DataFrame:
-    """Rows whose key falls in a bucket of a wanted key (or, with hit=False, in none).
+    """Rows whose key may be a wanted one (or, with hit=False, is surely none).
 
-    A filter ahead of an exact join: no wanted row is lost, some others pass. The broadcast side
-    has at most FILTER_BUCKETS longs at any input size.
+    A filter ahead of an exact join: no wanted row is lost, and about one other row in FILTER_SPACE
+    passes as long as there are fewer wanted keys than MOST_BITS / FILTER_SPACE; beyond that more
+    pass, up to all, and the broadcast stays at 16 MB. ``wanted`` is read twice: stage it.
     """
-    buckets = wanted.select(bucket_of(wanted_key).alias("_b")).distinct()
-    return rows.join(F.broadcast(buckets), bucket_of(key) == F.col("_b"), "left_semi" if hit else "left_anti")
+    bits = min(MOST_BITS, max(PAGE, 1 << (FILTER_SPACE * wanted.count()).bit_length()))
+    slot = lambda k: F.pmod(F.xxhash64(k), F.lit(bits))
+    page = lambda k: F.shiftright(slot(k), 15)
+    at = lambda k: slot(k).bitwiseAND(PAGE - 1)
+    pages = wanted.filter(wanted_key.isNotNull()).select(page(wanted_key).alias("_page"), at(wanted_key).alias("_at"))
+    pages = pages.groupBy("_page").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright(at(key), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, at(key).bitwiseAND(7).cast("int")) == 1
+    return rows.join(F.broadcast(pages), (page(key) == F.col("_page")) & held, "left_semi" if hit else "left_anti")

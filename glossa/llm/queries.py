@@ -60,7 +60,7 @@ FROM p LEFT JOIN g ON p.html = g.html AND n >= 1000
 )
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.round_trip(table(spark, sf_dir, "pages"))
-    return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), "response.refers_to")
+    return captures.select("metadata.page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), F.col("original_page").alias("refers_to"))
 
 
 @query(

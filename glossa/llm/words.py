@@ -2,21 +2,23 @@
 
 Texts arrive as Arrow batches and are worked on in chunks of a few MB, so memory follows the
 chunk (or the longest single text), never the partition. A word's identity is a 64-bit hash of
-its UTF-8 bytes; n-gram identities combine word hashes by position.
+its UTF-8 bytes; an n-gram's is made from those of its words, pair by pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 5
-_GRAM = 0xD6E8FEB86659FD93
-_MASK = (1 << 64) - 1
+#: Keys of the identities: of a word, of a step that joins two neighbours, of a length.
+_WORD, _JOIN, _SIZE = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)
+#: Spans beyond so many bytes are hashed one by one; spans that are hashed at a time.
+LONG, SLICE = 64, 1 << 18
 CHUNK_BYTES = 2 << 20
 
 #: Bytes that belong to a word, by class. "space": everything but space and \t to \r.
@@ -26,21 +28,10 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64, kept for the largest n asked for."""
-    have = _powers.get(base)
-    if have is None or len(have) <= n:
-        steps = np.full(max(n + 1, CHUNK_BYTES + 64), base, dtype=U)
-        steps[0] = 1
-        _powers[base] = have = np.multiply.accumulate(steps)
-    return have
+#: The low 0 to 8 bytes of a block.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -72,13 +63,29 @@ class Chunk:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    n = len(data)
-    sums = np.empty(n + 1, U)
-    sums[0] = 0
-    np.multiply(_BYTE[data], _power(_BASE, n)[:n], out=sums[1:])
-    np.cumsum(sums, out=sums)
-    h = (sums[ends] - sums[starts]) * _power(pow(_BASE, -1, 1 << 64), n)[starts]
-    return mix(h + (ends - starts).astype(U) * U(0xA0761D6478BD642F))
+    """Keyed 64-bit identity of the bytes of each span.
+
+    Eight bytes a step enter a state that a bijective, non-linear step turns over each time, so no
+    pair of spans collides for every key, as sums of powers do. Long spans take BLAKE2b.
+    """
+    out = np.empty(len(starts), U)
+    blocks = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    for i in range(0, len(starts), SLICE):
+        _hash_slice(data, blocks, starts[i : i + SLICE], ends[i : i + SLICE], out[i : i + SLICE])
+    return out
+
+
+def _hash_slice(data: np.ndarray, blocks: np.ndarray, starts: np.ndarray, ends: np.ndarray, out: np.ndarray) -> None:
+    size = ends - starts
+    out[:] = mix((size.astype(U) + _WORD) * _SIZE ^ (blocks[starts] & _BYTES[np.minimum(size, 8)]))
+    live = np.flatnonzero((size > 8) & (size <= LONG))
+    done = 8
+    while len(live):
+        out[live] = mix(out[live] * _JOIN ^ (blocks[starts[live] + done] & _BYTES[np.minimum(size[live] - done, 8)]))
+        done += 8
+        live = live[size[live] > done]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=b"words").digest(), "little")
 
 
 def chunks(texts: pa.Array, is_word: np.ndarray = SPACE, lower: bool = True, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
@@ -107,16 +114,26 @@ def chunks(texts: pa.Array, is_word: np.ndarray = SPACE, lower: bool = True, mos
         first = last
 
 
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Identity of a sequence from those of its two parts; not symmetric, and not linear in the parts."""
+    return mix((a ^ (a >> U(29))) * _JOIN + b)
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Identity of every k consecutive words, by first word; the caller drops those that cross texts."""
-    n = len(words)
-    if n < k:
+    n = len(words) - k + 1
+    if n < 1:
         return np.empty(0, U)
-    sums = np.empty(n + 1, U)
-    sums[0] = 0
-    np.multiply(words, _power(_GRAM, n)[:n], out=sums[1:])
-    np.cumsum(sums, out=sums)
-    return mix((sums[k:] - sums[:-k]) * _power(pow(_GRAM, -1, 1 << 64), n)[: n - k + 1])
+    level, size, at, out = words, 1, 0, None
+    while True:  # spans of 1, 2, 4, ... words, of which k is made
+        if k & size:
+            piece = level[at : at + n]
+            out = piece if out is None else joined(out, piece)
+            at += size
+        if 2 * size > k:
+            return mix(out + U((k * int(_SIZE)) & 0xFFFFFFFFFFFFFFFF))
+        level = joined(level[:-size], level[size:])
+        size *= 2
 
 
 def inner_starts(bounds: np.ndarray, k: int) -> np.ndarray:
