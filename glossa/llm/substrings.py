@@ -10,13 +10,17 @@ a document with a smaller id; so an edge's source is its least document.
    counted in one shuffle, and only documents that hold one go on, with those anchors.
 2. Windows around repeated anchors are edges. Grouped by hash, those in several documents are
    repeated edges with a source coordinate (document and position).
-3. Compaction: runs of repeated edges whose inner nodes have one way in and one way out, at
-   successive source coordinates, become one path, by joins with the few branching nodes.
-4. Occurrences meet their path; the window's second hash must equal the one at the path's source
-   coordinate. Positions with a smaller source document are removed.
-
-No join emits pairs of documents: each window meets its one source. Anchors and edges that are
-very common are attached by broadcast (see ``plan.attach``).
+3. Compaction: at each node the edge that ends there meets the one that begins there. Where a node has
+   one way in and one way out, at successive source coordinates, its two edges are on one path, so
+   repeated nonbranching paths become one row each, named by the coordinate where they begin.
+4. Occurrences meet the path of their edge; those that follow one path side by side become one span.
+5. Spans are verified at their source coordinates: a digest of the span's tokens in the source must
+   equal the digest of the tokens in the document. Only verified spans are removed. Windows of spans
+   that fail (different windows under one hash) are grouped again by digests of their own tokens.
+
+So results do not depend on hashes, only on digests of 16 bytes. No join emits pairs of documents:
+each window meets its one source. Anchors, edges and spans that are very common are attached by
+broadcast (see ``plan.attach``).
 
 Defined results: null text has no words; texts under WINDOW words lose nothing; a null id is
 neither smaller nor larger than any; rows that repeat an id are one document for the comparison,
@@ -25,19 +29,22 @@ so they do not remove each other; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
-from hashlib import sha256
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import attach, near, staged
+from .plan import attach, discard, near, staged
 
 WINDOW, ANCHOR = 13, 8
-_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Bits of an edge's identity. Fewer make more spans fail their verification and change no result.
+BITS = 64
+#: Where an id has several texts, a text's number times this is added to its positions.
+PART = 1 << 32
 
 
 def window_anchors(c: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -64,34 +71,39 @@ def _anchors(batches):
             yield pa.RecordBatch.from_arrays([*own, pa.array(low[new].view(np.int64))], names=["id", "class", "anchor"])
 
 
-def _edges(batches):
-    """Windows whose anchor is repeated: id, position, edge, second hash, nodes."""
-    for batch in batches:
-        wanted = batch.column(2)
-        for c in words.chunks(batch.column(1), lower=False):
-            starts, low = window_anchors(c)
-            if not len(starts):
-                continue
-            doc = np.searchsorted(c.bounds, starts, "right") - 1
-            keep = np.zeros(len(starts), bool)
-            first = np.searchsorted(doc, np.arange(c.last - c.first + 1))
-            for k in range(c.last - c.first):
-                a, b = first[k], first[k + 1]
-                if a < b:
-                    keep[a:b] = np.isin(low[a:b], np.array(wanted[c.first + k].values, np.int64).view(np.uint64))
-            at, doc = starts[keep], doc[keep]
-            if not len(at):
-                continue
-            edge, node = words.gram_hashes(c.hashes, WINDOW), words.gram_hashes(c.hashes, WINDOW - 1)
-            second = words.gram_hashes(words.mix(c.hashes * _SECOND), WINDOW)[at] >> np.uint64(33)
-            ids = batch.column(0).slice(c.first, c.last - c.first).take(pa.array(doc))
-            arrays = [ids, pa.array((at - c.bounds[doc]).astype(np.int32)), *[pa.array(x.view(np.int64)) for x in (edge[at],)], pa.array(second.astype(np.int32)), pa.array(node[at].view(np.int64)), pa.array(node[at + 1].view(np.int64))]
-            whole = pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "edge", "second", "head", "tail"])
-            for i in range(0, len(at), 1 << 16):
-                yield whole.slice(i, 1 << 16)
-
-
-EDGE = "id long, pos int, edge long, second int, head long, tail long"
+def edge_rows(bits: int = BITS):
+    """(id, text, anchors, part) -> the windows whose anchor is repeated: id, position, edge, nodes."""
+    mask = np.uint64((1 << bits) - 1)
+
+    def run(batches):
+        for batch in batches:
+            wanted, parts = batch.column(2), batch.column(3).to_numpy().astype(np.int64)
+            for c in words.chunks(batch.column(1), lower=False):
+                starts, low = window_anchors(c)
+                if not len(starts):
+                    continue
+                doc = np.searchsorted(c.bounds, starts, "right") - 1
+                keep = np.zeros(len(starts), bool)
+                first = np.searchsorted(doc, np.arange(c.last - c.first + 1))
+                for k in range(c.last - c.first):
+                    a, b = first[k], first[k + 1]
+                    if a < b:
+                        keep[a:b] = np.isin(low[a:b], np.array(wanted[c.first + k].values, np.int64).view(np.uint64))
+                at, doc = starts[keep], doc[keep]
+                if not len(at):
+                    continue
+                edge, node = words.gram_hashes(c.hashes, WINDOW) & mask, words.gram_hashes(c.hashes, WINDOW - 1)
+                ids = batch.column(0).slice(c.first, c.last - c.first).take(pa.array(doc))
+                whole = pa.RecordBatch.from_arrays(
+                    [ids, pa.array(at - c.bounds[doc] + parts[c.first + doc] * PART), *[pa.array(x.view(np.int64)) for x in (edge[at], node[at], node[at + 1])]], names=["id", "pos", "edge", "head", "tail"]
+                )
+                for i in range(0, len(at), 1 << 16):
+                    yield whole.slice(i, 1 << 16)
+
+    return run
+
+
+EDGE = "id long, pos long, edge long, head long, tail long"
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,92 +123,205 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(id, text, anchors): of each class with anchors that another class holds too, the document with the least id."""
+    """(id, text, anchors, class, part): of each class with anchors that another class holds too, the document with the least id.
+
+    ``part`` numbers the texts of one id.
+    """
     anchors = rows.filter("id is not null").select("id", "text", "class").mapInArrow(_anchors, "id long, class long, anchor long")
     counted = anchors.groupBy("anchor").agg(F.min("class").alias("_a"), F.max("class").alias("_b"), F.count("*").alias("weight"))
     shared = staged(counted.filter("_a < _b").select("anchor", "weight"), "anchors")
     total = shared.agg(F.sum("weight")).first()[0] or 0
-    found = attach(anchors, shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
-    own = staged(found.groupBy("class").agg(F.min("id").alias("id"), F.collect_set("anchor").alias("anchors")), "own")
-    return staged(near(rows, F.col("id"), own, F.col("id")).join(own, ["id", "class"]).select("id", "text", "anchors", "class"), "candidates")
+    found = attach(near(anchors, F.col("anchor"), shared, F.col("anchor")), shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
+    own = found.groupBy("class").agg(F.min("id").alias("id"), F.collect_set("anchor").alias("anchors"))
+    own = staged(own.withColumn("part", (F.row_number().over(W.partitionBy("id").orderBy("class")) - 1).cast("int")), "own")
+    out = near(rows, F.col("id"), own, F.col("id")).dropDuplicates(["id", "class"]).join(own, ["id", "class"])
+    out = staged(out.select("id", "text", "anchors", "part", "class"), "candidates")
+    discard(shared, own)
+    return out
 
 
 def paths(edges: DataFrame) -> DataFrame:
-    """Repeated edges with source coordinate (source, at) and their compacted path, named by the coordinate where it begins.
+    """Repeated edges with source coordinate (source, at) and the coordinate ``begin`` of their compacted path.
 
-    Columns: edge, weight, source, at, begin, low and high (least and largest second hash).
+    Columns: edge, weight, source, at, begin.
     """
-    found = edges.groupBy("edge").agg(
-        F.min("id").alias("source"), F.max("id").alias("_last"), F.min_by("pos", "id").alias("at"), F.count("*").alias("weight"),
-        F.min("second").alias("low"), F.max("second").alias("high"), F.min("head").alias("head"), F.min("tail").alias("tail"),
-    )
-    found = staged(found.filter("source < _last").drop("_last"), "repeated")
-    ends = found.select(F.explode(F.array(F.struct(F.col("head").alias("node"), F.lit(1).alias("out")), F.struct(F.col("tail").alias("node"), F.lit(0).alias("out")))).alias("e"))
-    degree = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.count("*").alias("all"))
-    branching = degree.filter("out <> 1 or all <> 2").select(F.col("node").alias("head"), F.lit(True).alias("opens"))
-    joined = found.join(branching, "head", "left")
-    along = W.partitionBy("source").orderBy("at", "edge")  # at most one document's words
-    opens = F.coalesce("opens", F.lit(False)) | F.coalesce(F.col("at") != F.lag("at").over(along) + 1, F.lit(True))
-    begin = F.max(F.when(opens, F.col("at"))).over(along.rowsBetween(W.unboundedPreceding, 0))
-    return staged(joined.select("edge", "weight", "source", "at", begin.alias("begin"), "low", "high"), "paths")
+    found = edges.groupBy("edge").agg(F.min(F.struct("id", "pos")).alias("top"), F.max("id").alias("_last"), F.count("*").alias("weight"), F.min("head").alias("head"), F.min("tail").alias("tail"))
+    found = found.filter(F.col("top.id") < F.col("_last")).select("edge", "weight", F.col("top.id").alias("source"), F.col("top.pos").alias("at"), "head", "tail")
+    found = staged(found, "repeated")
+    coordinate = F.struct("edge", "source", "at")
+    none = F.lit(None).cast("struct<edge: bigint, source: bigint, at: bigint>")
+    ends = found.select(F.explode(F.array(F.struct(F.col("tail").alias("node"), coordinate.alias("into"), none.alias("out")), F.struct(F.col("head").alias("node"), none.alias("into"), coordinate.alias("out")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.count("e.into").alias("ways_in"), F.count("e.out").alias("ways_out"), F.max("e.into").alias("into"), F.max("e.out").alias("out"))
+    along = (F.col("into.source") == F.col("out.source")) & (F.col("into.at") + 1 == F.col("out.at"))
+    goes_on = nodes.filter((F.col("ways_in") == 1) & (F.col("ways_out") == 1) & along).select(F.col("out.edge").alias("edge"), F.lit(True).alias("goes_on"))
+    joined = found.select("edge", "weight", "source", "at").join(goes_on, "edge", "left")
+    before = W.partitionBy("source").orderBy("at").rowsBetween(W.unboundedPreceding, 0)  # at most one document's words
+    begin = F.max(F.when(F.col("goes_on").isNull(), F.col("at"))).over(before)
+    out = staged(joined.withColumn("begin", begin).drop("goes_on"), "paths")
+    discard(found)
+    return out
 
 
 def repeated_paths(docs: DataFrame) -> DataFrame:
     """(source, begin, words, occurrences): the compacted repeated spans by source coordinates."""
-    table = paths(candidates(classes(docs)[0]).select("id", "text", "anchors").mapInArrow(_edges, EDGE))
+    table = paths(_edge_table(candidates(classes(docs)[0])))
     return table.groupBy("source", "begin").agg((F.max("at") - F.col("begin") + WINDOW).alias("words"), F.max("weight").alias("occurrences"))
 
 
-def removed(rows: DataFrame) -> DataFrame:
-    """(id, class, starts): the first words of the windows that a smaller document holds, of documents that are no copies."""
-    cands = candidates(rows)
-    edges = cands.select("id", "text", "anchors").mapInArrow(_edges, EDGE)
+def _edge_table(cands: DataFrame, bits: int = BITS) -> DataFrame:
+    return cands.select("id", "text", "anchors", "part").mapInArrow(edge_rows(bits), EDGE)
+
+
+def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
+    """(id, source, first, last, at): runs of windows, by first words, that follow one path of a smaller document from ``at`` on.
+
+    Runs of the source itself that stand elsewhere than at the path are among them; they are not removed.
+    """
+    edges = _edge_table(cands, bits)
     found = paths(edges)
     total = found.agg(F.sum("weight")).first()[0] or 0
-    met = attach(edges.select("id", "pos", "edge", "second"), found, "edge", "weight", F.xxhash64("id", "pos"), total)
-    sure = met.filter("source < id and low = high and second = low").select("id", "pos")
-    clash = found.filter("low <> high").select("edge")
-    if not clash.isEmpty():  # different windows under one hash: told apart by the second one
-        own = edges.join(clash, "edge", "left_semi")
-        least = own.groupBy("edge", "second").agg(F.min("id").alias("source"))
-        sure = sure.unionByName(own.join(least, ["edge", "second"]).filter("source < id").select("id", "pos"))
-    return staged(sure.groupBy("id").agg(F.collect_list("pos").alias("starts")).join(cands.select("id", "class"), "id"), "removed")
+    met = attach(near(edges.select("id", "pos", "edge"), F.col("edge"), found, F.col("edge")), found, "edge", "weight", F.xxhash64("id", "pos"), total)
+    met = met.filter("source < id or (source = id and pos <> at)").withColumn("shift", F.col("pos") - F.col("at"))
+    follow = met.groupBy("id", "source", "begin", "shift").agg(F.sort_array(F.collect_list("pos")).alias("s"))
+    heads = F.expr("filter(s, (x, i) -> i = 0 or s[i - 1] + 1 <> x)")
+    lasts = F.expr("filter(s, (x, i) -> i = size(s) - 1 or s[i + 1] - 1 <> x)")
+    runs = follow.select("id", "source", "shift", F.explode(F.arrays_zip(heads.alias("first"), lasts.alias("last"))).alias("run"))
+    out = staged(runs.select("id", "source", F.col("run.first").alias("first"), F.col("run.last").alias("last"), (F.col("run.first") - F.col("shift")).alias("at")), "spans")
+    discard(found)
+    return out
 
 
-def _covered(n: int, starts: np.ndarray) -> np.ndarray:
+class Tokens:
+    """The words of one text of a chunk, joined by one space, by position."""
+
+    def __init__(self, c: words.Chunk, k: int):
+        a, b = int(c.bounds[k]), int(c.bounds[k + 1])
+        raw = c.data[c.starts[a] : c.ends[b - 1]].tobytes() if a < b else b""
+        base = int(c.starts[a]) if a < b else 0
+        self.joined = b" ".join([raw[x - base : y - base] for x, y in zip(c.starts[a:b].tolist(), c.ends[a:b].tolist(), strict=True)])
+        self.offsets = np.concatenate([[0], np.cumsum(c.ends[a:b] - c.starts[a:b] + 1)])
+
+    def digest(self, first: int, n: int) -> bytes:
+        return blake2b(self.joined[self.offsets[first] : self.offsets[first + n] - 1], digest_size=16).digest()
+
+
+def _digests(batches):
+    """(id, part, text, spans of position and number of words) -> id, position, number, digest of the tokens there."""
+    for batch in batches:
+        for c in words.chunks(batch.column(2), lower=False):
+            for k in range(c.first, c.last):
+                own, part, spans = Tokens(c, k - c.first), batch.column(1)[k].as_py() * PART, batch.column(3)[k].as_py()
+                digests = [own.digest(s["at"] - part, s["n"]) for s in spans]
+                columns = [pa.array([batch.column(0)[k].as_py()] * len(spans), pa.int64()), *[pa.array([s[x] for s in spans], pa.int64()) for x in ("at", "n")], pa.array(digests, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "n", "digest"])
+
+
+def digests_at(cands: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, at, n, digest) of distinct (id, at, n): the tokens that stand in candidate id from position at on."""
+    places = places.groupBy("id", F.shiftright("at", 32).cast("int").alias("part")).agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    met = cands.select("id", "part", "text").join(places, ["id", "part"])
+    return met.select("id", "part", "text", "spans").mapInArrow(_digests, "id long, at long, n long, digest binary")
+
+
+def told_spans(cands: DataFrame, spans: DataFrame) -> DataFrame:
+    """The spans with the digest at their source coordinate."""
+    place = F.concat_ws(":", "source", "at", F.col("last") - F.col("first"))
+    keyed = spans.withColumn("place", place)
+    wanted = staged(keyed.groupBy("place").agg(F.count("*").alias("weight"), F.any_value("source").alias("id"), F.any_value("at").alias("at"), (F.any_value(F.col("last") - F.col("first")) + WINDOW).alias("n")), "places")
+    found = digests_at(cands, wanted.select("id", "at", "n")).select(F.concat_ws(":", "id", "at", F.col("n") - WINDOW).alias("place"), "digest")
+    told = staged(found.join(wanted.select("place", "weight"), "place"), "told")
+    return attach(keyed, told, "place", "weight", F.xxhash64("id", "first"), spans.count()).drop("place", "weight")
+
+
+def _covered(n: int, spans: list[tuple[int, int]]) -> np.ndarray:
     marks = np.zeros(n + 1, np.int32)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, np.minimum(starts + WINDOW, n), -1)
+    for first, last in spans:
+        marks[first] += 1
+        marks[min(last + WINDOW, n)] -= 1
     return np.cumsum(marks[:n]) > 0
 
 
+GONE = "array<struct<first: bigint, last: bigint, digest: binary>>"
+REBUILT = "id long, n_words long, n_removed long, kept string, failed array<struct<first: bigint, last: bigint>>"
+FAILED = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
+
 def _rebuilt(batches):
-    """(id, text[, starts, whole]) -> id, n_words, n_removed, kept text (words joined by one space)."""
+    """(id, text[, spans, whole, part]) -> id, n_words, n_removed, kept text (words joined by one space), spans that failed.
+
+    A span holds where the digest of its tokens is the one told, or none is.
+    """
     for batch in batches:
         told = batch.num_columns > 2
         for c in words.chunks(batch.column(1), lower=False):
             raw, rows = c.data.tobytes(), []
             for k in range(c.last - c.first):
                 a, b = int(c.bounds[k]), int(c.bounds[k + 1])
-                hit = np.zeros(b - a, bool)
+                hit, failed = np.zeros(b - a, bool), []
                 if told and batch.column(3)[c.first + k].as_py():
                     hit[:] = b - a >= WINDOW
-                elif told and (starts := batch.column(2)[c.first + k].values) is not None:
-                    hit = _covered(b - a, np.array(starts))
+                elif told and (spans := batch.column(2)[c.first + k].as_py()):
+                    own, part, good = Tokens(c, k), batch.column(4)[c.first + k].as_py() * PART, []
+                    for s in spans:
+                        first, last = s["first"] - part, s["last"] - part
+                        if s["digest"] is None or own.digest(first, last - first + WINDOW) == s["digest"]:
+                            good.append((first, last))
+                        else:
+                            failed.append({"first": s["first"], "last": s["last"]})
+                    hit = _covered(b - a, good)
                 kept = b" ".join([raw[x:y] for x, y in zip(c.starts[a:b][~hit].tolist(), c.ends[a:b][~hit].tolist(), strict=True)])
-                rows.append((b - a, int(hit.sum()), kept.decode("utf-8", "surrogatepass")))
-            n, less, text = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.last - c.first), pa.array(n, pa.int64()), pa.array(less, pa.int64()), pa.array(text, pa.string())], names=["id", "n_words", "n_removed", "kept"])
+                rows.append((b - a, int(hit.sum()), kept.decode("utf-8", "surrogatepass"), failed))
+            n, less, text, failed = zip(*rows, strict=True)
+            columns = [batch.column(0).slice(c.first, c.last - c.first), pa.array(n, pa.int64()), pa.array(less, pa.int64()), pa.array(text, pa.string()), pa.array(failed, FAILED)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "n_removed", "kept", "failed"])
+
 
+def regrouped(cands: DataFrame, spans: DataFrame, failed: DataFrame) -> DataFrame:
+    """(id, first, last) of single windows to remove, of the failed (id, first, last): by digests of the windows' own tokens.
 
-def dedup_substrings(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    All occurrences of an edge are spans over its one coordinate, so each window meets all documents that may hold it.
+    """
+    window = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - F.col("first"))).alias("i")
+    each = spans.select("id", "source", "first", "at", window).select("id", "source", (F.col("first") + F.col("i")).alias("pos"), (F.col("at") + F.col("i")).alias("at"))
+    bad = failed.select("id", "first", window).select("id", (F.col("first") + F.col("i")).alias("pos"))
+    clash = each.join(bad, ["id", "pos"]).select("source", "at").distinct()
+    held = each.join(clash, ["source", "at"]).unionByName(clash.select(F.col("source").alias("id"), "source", F.col("at").alias("pos"), "at"))
+    held = staged(held, "clashes")
+    found = digests_at(cands, held.select("id", F.col("pos").alias("at"), F.lit(WINDOW).cast("long").alias("n")).distinct())
+    own = held.join(found.select("id", F.col("at").alias("pos"), "digest"), ["id", "pos"])
+    least = own.groupBy("source", "at", "digest").agg(F.min("id").alias("least"))
+    gone = own.join(least, ["source", "at", "digest"]).filter("least < id").join(bad, ["id", "pos"], "left_semi")
+    return gone.select("id", F.col("pos").alias("first"), F.col("pos").alias("last")).distinct()
+
+
+def dedup_substrings(docs: DataFrame, key: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """id, n_words, n_removed and the kept text of every row."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows, copies = classes(docs)
-    gone = removed(rows).withColumn("whole", F.lit(False)).unionByName(copies.withColumns({"starts": F.lit(None).cast("array<int>"), "whole": F.lit(True)}))
-    gone = staged(gone, "gone")
-    kind = "id long, n_words long, n_removed long, kept string"
-    # Only documents near a removal are shuffled to meet it; the filter's other hits find none.
-    whole = near(docs, F.col("id"), gone, F.col("id"), hit=False).mapInArrow(_rebuilt, kind)
-    touched = near(rows, F.col("id"), gone, F.col("id")).join(gone, ["id", "class"], "left").select("id", "text", "starts", "whole").mapInArrow(_rebuilt, kind)
-    return whole.unionByName(touched)
+    cands = candidates(rows)
+    spans = path_spans(cands, bits)
+    part = F.shiftright("first", 32).cast("int").alias("part")
+
+    def removals(found: DataFrame) -> DataFrame:
+        """(id, class, spans, whole, part) of (id, first, last, digest)."""
+        lists = found.groupBy("id", part).agg(F.collect_list(F.struct("first", "last", "digest")).alias("spans"))
+        return lists.join(cands.select("id", "part", "class"), ["id", "part"]).withColumn("whole", F.lit(False))
+
+    def rebuilt(gone: DataFrame, ids: DataFrame) -> DataFrame:
+        # Only documents near a removal are shuffled to meet it; the filter's other hits find none.
+        met = near(rows, F.col("id"), ids, F.col("id")).join(gone, ["id", "class"], "left")
+        return met.select("id", "text", "spans", "whole", F.coalesce("part", F.lit(0)).alias("part"), "class")
+
+    none: dict[str, Column] = {"spans": F.lit(None).cast(GONE), "whole": F.lit(True), "part": F.lit(0)}
+    gone = staged(removals(told_spans(cands, spans.filter("source < id"))).unionByName(copies.withColumns(none)), "gone")
+    whole = near(docs, F.col("id"), gone, F.col("id"), hit=False).mapInArrow(_rebuilt, REBUILT)
+    touched = staged(rebuilt(gone, gone).mapInArrow(_rebuilt, REBUILT), "touched")
+    failed = touched.filter("size(failed) > 0")
+    if not failed.isEmpty():  # different windows under one hash
+        bad = staged(failed.select("id", F.explode("failed").alias("s")).select("id", "s.first", "s.last").distinct(), "failed")
+        sound = spans.filter("source < id").join(bad.select("id").distinct(), "id", "left_semi").join(bad, ["id", "first", "last"], "left_anti").select("id", "first", "last")
+        again = sound.unionByName(regrouped(cands, spans, bad)).withColumn("digest", F.lit(None).cast("binary"))
+        ids = staged(bad.select("id").distinct(), "ids")
+        mended = staged(removals(again).unionByName(copies.withColumns(none).join(ids, "id", "left_semi")), "mended")
+        touched = touched.join(ids, "id", "left_anti").unionByName(rebuilt(mended, ids).join(ids, "id", "left_semi").drop("class").mapInArrow(_rebuilt, REBUILT))
+    return whole.unionByName(touched).drop("failed")

@@ -186,27 +186,79 @@ def test_links_inside_a_bucket_are_found_by_blocks():
     rng = np.random.default_rng(1)
     whole = np.unique(rng.integers(1, 1 << 62, 400, dtype=np.int64))
     sets = [whole, np.delete(whole, slice(0, 20)), np.unique(rng.integers(1, 1 << 62, 300, dtype=np.int64))]
-    codes = [c.tobytes() for c in minhash.packed(minhash.minima([s.view(np.uint64) for s in sets]))]
+    packed = minhash.packed(minhash.minima([s.view(np.uint64) for s in sets]))
+    codes = [c.view(np.int64).tolist() for c in packed]
     columns = {"key": [1] * 5, "node": [2, 3, 1, 2, 3], "label": [2, 3, 1, 2, 3], "stray": [True, True, False, False, False], "one": [0] * 5, "two": [0] * 5}
     order = [1, 2, 0, 1, 2]
     table = pa.table(columns | {"codes": [codes[i] for i in order], "shingles": [sets[i].tolist() for i in order]})
     assert minhash._compare(None, table).to_pylist() == [{"a": 2, "b": 1}]
-    e = minhash.estimates(*[np.frombuffer(b"".join(codes), np.uint8).reshape(3, -1)] * 2)
+    e = minhash.estimates(packed, packed)
     assert e[0, 1] == pytest.approx(0.95, abs=0.1)
     assert e[0, 2] < 0.2
 
 
-def test_members_of_mixed_buckets_are_linked(spark):
+def test_members_of_mixed_buckets_are_linked(spark, monkeypatch):
     rng = np.random.default_rng(4)
     whole = np.unique(rng.integers(1, 1 << 62, 300, dtype=np.int64))
     sets = {1: whole, 2: np.delete(whole, slice(0, 15)), 3: np.unique(rng.integers(1, 1 << 62, 300, dtype=np.int64)), 4: np.delete(whole, slice(20, 40))}
-    codes = {n: minhash.packed(minhash.minima([s.view(np.uint64)]))[0].tobytes() for n, s in sets.items()}
-    mixed = spark.createDataFrame([(7, n, 1 if n == 4 else n) for n in sets] + [(8, n, 1 if n == 4 else n) for n in sets] + [(9, 1, 1), (9, 3, 3)], "key long, node long, label long")
-    features = spark.createDataFrame([(n, bytearray(c)) for n, c in codes.items()], "node long, codes binary")
+    codes = {n: minhash.packed(minhash.minima([s.view(np.uint64)]))[0].view(np.int64).tolist() for n, s in sets.items()}
+    members = [(7, n, 1 if n == 4 else n) for n in sets] + [(8, n, 1 if n == 4 else n) for n in sets] + [(9, 1, 1), (9, 3, 3)]
+    members = spark.createDataFrame([(*m, len(sets[m[1]])) for m in members], "key long, node long, label long, n long")
+    nodes = spark.createDataFrame([(n, c) for n, c in codes.items()], "node long, codes array<long>")
     full = spark.createDataFrame([(n, s.tolist()) for n, s in sets.items()], "node long, shingles array<long>")
-    found = minhash._inside(mixed, features, full).collect()
-    assert {frozenset(r) for r in found} <= {frozenset((2, 1)), frozenset((2, 4))}
-    assert found
+    for most in (minhash.BLOCK_BYTES, 5000):  # one block, and several
+        monkeypatch.setattr(minhash, "BLOCK_BYTES", most)
+        found = minhash._inside(members, nodes, full).collect()
+        assert {frozenset(r) for r in found} <= {frozenset((2, 1)), frozenset((2, 4))}
+        assert found
+
+
+def test_estimate_stands_before_each_confirmation(spark, monkeypatch):
+    """Both forms of the estimate agree, and what it rules out is not confirmed."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(1, 1 << 62, 200, dtype=np.int64))]
+    sets += [np.delete(sets[0], slice(0, k)) for k in (5, 30, 90)]
+    packed = minhash.packed(minhash.minima([s.view(np.uint64) for s in sets]))
+    nodes = spark.createDataFrame([(i, len(s), c.view(np.int64).tolist()) for i, (s, c) in enumerate(zip(sets, packed))], "node long, n long, codes array<long>")
+    pairs = spark.createDataFrame([(0, i) for i in (1, 2, 3)], "hub long, node long")
+    got = pairs.join(nodes, "node").crossJoin(nodes.filter("node = 0").select(F.col("codes").alias("first"))).select("node", minhash.alike(F.col("codes"), F.col("first")).alias("e"))
+    want = minhash.estimates(packed, packed)[0]
+    assert all(r["e"] == pytest.approx(want[r["node"]]) for r in got.collect())
+    full = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    assert sorted(r["b"] for r in minhash.confirmed(pairs, nodes, full).collect()) == [1, 2]
+    monkeypatch.setattr(minhash, "NEAR", 2.0)
+    assert minhash.confirmed(pairs, nodes, full).collect() == []
+
+
+def test_rows_without_id_take_part(spark):
+    """A link that runs through a row without an id holds, and one id may name a copy and another text."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    far = [*base[:95], *[f"x{i}" for i in range(18)]]
+    rows = [(1, " ".join(base[:90])), (None, " ".join(base)), (3, " ".join(far)), (4, "some other text that is clean"), (3, "a second text under this id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs).collect())
+    assert got == Counter([(1, 86, 1), (None, 96, 1), (3, 109, 1), (4, 2, 4), (3, 2, 3)])
+    assert sorted((r["doc_id"], len(r["text"].split())) for r in minhash.keep_one(docs).collect()) == [(1, 90), (3, 6), (4, 6)]
+
+
+def thue_morse():
+    """Two words of 1,024 letters that collide under any sum of powers modulo 2 ** 64."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_collide_under_polynomial_hashes(spark):
+    a, b = thue_morse()
+    docs = spark.createDataFrame([(1, a), (2, b), (3, " ".join([a, *map(str, range(12))])), (4, " ".join([b, *map(str, range(12))]))], "doc_id long, text string")
+    assert all(r["kept"] for r in minhash.near_duplicates(docs).filter("id < 3").collect())
+    assert all(r["n_removed"] == 0 for r in substrings.dedup_substrings(docs).collect())
+    items = spark.createDataFrame([(7, a)], "item_id long, text string")
+    assert {r["key"] for r in decontamination.scan(docs, items).filter("size(items) > 0").collect()} == {1, 3}
+    got = {r["key"]: r["n_known"] for r in scoring.score(docs.filter("doc_id < 3"), F.col("doc_id") == 2).collect()}
+    assert got == {1: 2, 2: 1}
 
 
 def test_components(spark):
@@ -247,8 +299,9 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.remove_spans(docs, spark.createDataFrame([], "item_id long, text string")).count() == len(ROWS)
 
 
-def test_substrings(docs, empty):
-    out = substrings.dedup_substrings(docs).collect()
+@pytest.mark.parametrize("bits", [64, 7, 1])  # with few bits different windows share an edge, and spans fail their verification
+def test_substrings(docs, empty, bits):
+    out = substrings.dedup_substrings(docs, bits=bits).collect()
     texts = [(i, re.findall(SPACE, t or "")) for i, t, *_ in ROWS]
     least = {}
     for i, w in texts:
@@ -264,6 +317,20 @@ def test_substrings(docs, empty):
     assert substrings.dedup_substrings(empty).collect() == []
 
 
+def test_removal_follows_the_compacted_paths(spark, monkeypatch):
+    """Without paths there are no spans to remove; a run of windows on one path is one span."""
+    a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(20)]
+    rows = [(1, " ".join([*a, *b])), (2, " ".join(["x", *a, "y"])), (3, " ".join(b)), (3, " ".join(["z", *a[:15]]))]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    spans = substrings.path_spans(substrings.candidates(substrings.classes(docs)[0])).collect()
+    assert sorted((r["id"], r["source"], r["first"] % substrings.PART, r["last"] % substrings.PART, r["at"]) for r in spans) == [(2, 1, 1, 18, 0), (3, 1, 0, 7, 30), (3, 1, 1, 3, 0)]
+    assert sorted(r["n_removed"] for r in substrings.dedup_substrings(docs, key="id").collect()) == [0, 15, 20, 30]
+    none = substrings.paths
+    monkeypatch.setattr(substrings, "paths", lambda edges: none(edges).limit(0))
+    monkeypatch.setattr(substrings, "discard", lambda *tables: None)
+    assert all(r["n_removed"] == 0 for r in substrings.dedup_substrings(docs, key="id").collect())
+
+
 def test_repeated_paths(spark):
     a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(20)]
     rows = [(1, " ".join([*a, *b])), (2, " ".join(["x", *a, "y"])), (3, " ".join(b))]
@@ -368,7 +435,7 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, labels, ~held).collect() == []
 
 
-def test_warc(spark):
+def test_warc(spark, monkeypatch):
     big, tricky = "<p>é</p>" * 200, "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 40
     rows = [(1, "http://a/\r\n", big), (2, None, big), (3, "http://c", "small"), (4, "http://d", "small"), (5, "http://e", None), (6, "", ""), (7, "u", tricky), (8, "u", tricky), (None, "n", big), (8, "u", tricky)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"n": F.lit(1), "key": F.lit(1), "bytes": F.lit(1)})
@@ -380,18 +447,26 @@ def test_warc(spark):
         raw = (h or "").encode()
         again = h in top and len(raw) >= 1000 and i != top[h]
         want.append((str(i), len(raw), sha1(raw).hexdigest(), "revisit" if again else "response", top[h] if again else None))
-    assert sorted(map(str, want)) == sorted(str((str(r["metadata"]["page_id"]), r["response"]["payload_bytes"], r["response"]["payload_digest"], r["response"]["type"], r["response"]["refers_to"])) for r in got)
+    assert sorted(map(str, want)) == sorted(str((str(r["metadata"]["page_id"]), r["response"]["payload_bytes"], r["response"]["payload_digest"], r["response"]["type"], r["original_page"])) for r in got)
     assert all(r["request"]["concurrent_to"] == r["response"]["record_id"] == r["metadata"]["concurrent_to"] for r in got)
     assert warc.round_trip(pages.limit(0)).collect() == []
+    monkeypatch.setattr(warc, "CLASSES", ((100, 2), (1650, 1), (None, 1)))  # several size classes
+    again = warc.round_trip(pages).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
 
 
 def test_records_that_name_other_records(spark):
     r = lambda i, k, to=None: (i, k, to, "u", None, None, None, None, None)
-    found = spark.createDataFrame([r("a", "response"), r("b", "request", "a"), r("c", "metadata", "b"), r("d", "metadata", "gone"), r("e", "request")], warc.RECORD)
+    rows = [r("a", "response"), r("b", "request", "a"), r("c", "metadata", "b"), r("d", "metadata", "gone"), r("e", "request")]
+    rows += [r("h", "response"), r("h0", "request", "h"), *[r(f"h{i}", "metadata", f"h{i - 1}") for i in range(1, 10)]]  # a chain of ten hops
+    rows += [r("x", "request", "y"), r("y", "metadata", "x")]
+    found = spark.createDataFrame(rows, warc.RECORD)
     got = {x["capture_id"]: x for x in warc.assemble(found.drop("payload")).collect()}
-    assert set(got) == {"a", "gone", "e"}
+    assert {"a", "gone", "e", "h"} <= set(got) <= {"a", "gone", "e", "h", "x", "y"}
     assert got["a"]["metadata"]["record_id"] == "c"
     assert got["e"]["response"] is None
+    assert (got["h"]["request"]["record_id"], got["h"]["metadata"]["record_id"]) == ("h0", "h9")
+    assert sum(x[k] is not None for x in got.values() for k in ("request", "metadata")) >= 6
 
 
 def test_malformed_archives_raise():
