@@ -57,10 +57,19 @@ def discard(*tables: DataFrame) -> None:
         drop_folder(t.sparkSession, t.staged_at)
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    system, where = _folder(spark, path)
+    system.delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _folder(spark, path)
+    return system.exists(where)
 
 
 def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread: Column, total: int) -> DataFrame:
@@ -108,12 +117,11 @@ def near(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, hi
     passes as long as there are fewer wanted keys than MOST_BITS / FILTER_SPACE; beyond that more
     pass, up to all, and the broadcast stays at 16 MB. ``wanted`` is read twice: stage it.
     """
-    bits = min(MOST_BITS, max(PAGE, 1 << (FILTER_SPACE * wanted.count()).bit_length()))
-    slot = lambda k: F.pmod(F.xxhash64(k), F.lit(bits))
-    page = lambda k: F.shiftright(slot(k), 15)
-    at = lambda k: slot(k).bitwiseAND(PAGE - 1)
-    pages = wanted.filter(wanted_key.isNotNull()).select(page(wanted_key).alias("_page"), at(wanted_key).alias("_at"))
+    size = min(MOST_BITS, max(PAGE, 1 << (FILTER_SPACE * wanted.count()).bit_length())) // 8
+    byte = lambda k: F.pmod(F.xxhash64(k), F.lit(size))
+    bit = lambda k: F.pmod(F.shiftright(F.xxhash64(k), 40), F.lit(7))  # noqa: E731  the eighth stays 0, so a byte reads as ASCII
+    page, place = (lambda k: F.shiftright(byte(k), 12)), (lambda k: byte(k).bitwiseAND(PAGE // 8 - 1))
+    pages = wanted.filter(wanted_key.isNotNull()).select(page(wanted_key).alias("_page"), (place(wanted_key) * 8 + bit(wanted_key)).alias("_at"))
     pages = pages.groupBy("_page").agg(F.bitmap_construct_agg("_at").alias("_bits"))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftright(at(key), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    held = F.getbit(byte, at(key).bitwiseAND(7).cast("int")) == 1
+    held = F.getbit(F.ascii(F.substring(F.col("_bits"), (place(key) + 1).cast("int"), F.lit(1)).cast("string")), bit(key).cast("int")) == 1
     return rows.join(F.broadcast(pages), (page(key) == F.col("_page")) & held, "left_semi" if hit else "left_anti")

@@ -131,7 +131,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     counted = anchors.groupBy("anchor").agg(F.min("class").alias("_a"), F.max("class").alias("_b"), F.count("*").alias("weight"))
     shared = staged(counted.filter("_a < _b").select("anchor", "weight"), "anchors")
     total = shared.agg(F.sum("weight")).first()[0] or 0
-    found = attach(near(anchors, F.col("anchor"), shared, F.col("anchor")), shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
+    found = attach(anchors, shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
     own = found.groupBy("class").agg(F.min("id").alias("id"), F.collect_set("anchor").alias("anchors"))
     own = staged(own.withColumn("part", (F.row_number().over(W.partitionBy("id").orderBy("class")) - 1).cast("int")), "own")
     out = near(rows, F.col("id"), own, F.col("id")).dropDuplicates(["id", "class"]).join(own, ["id", "class"])
@@ -180,7 +180,7 @@ def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
     edges = _edge_table(cands, bits)
     found = paths(edges)
     total = found.agg(F.sum("weight")).first()[0] or 0
-    met = attach(near(edges.select("id", "pos", "edge"), F.col("edge"), found, F.col("edge")), found, "edge", "weight", F.xxhash64("id", "pos"), total)
+    met = attach(edges.select("id", "pos", "edge"), found, "edge", "weight", F.xxhash64("id", "pos"), total)
     met = met.filter("source < id or (source = id and pos <> at)").withColumn("shift", F.col("pos") - F.col("at"))
     follow = met.groupBy("id", "source", "begin", "shift").agg(F.sort_array(F.collect_list("pos")).alias("s"))
     heads = F.expr("filter(s, (x, i) -> i = 0 or s[i - 1] + 1 <> x)")
