@@ -6,19 +6,21 @@ shorter item) occurs where the matched length reaches it; its words are hit. Tok
 holds send the automaton to its root, so only runs of item vocabulary at least as long as the
 shortest window are streamed; the runs are found with vector operations.
 
-Items are loaded in blocks of about ``BLOCK_TOKENS`` words with one automaton at a time, and their
-total is checked against ``ITEM_BYTES``, so what a worker holds is bounded; each batch of documents
-meets every block and the hits are united.
+Items are read in blocks of about ``BLOCK_TOKENS`` words. Each block is one automaton, built once a
+worker, and one pass over the documents; passes hand on the hits found so far, ``CHAIN`` of them in one
+stage. So what the driver and a worker hold is bounded at any size of the benchmark.
 
 Defined results: null or empty texts have no words and hit nothing; empty or null items match
-nothing; items that repeat all count; a null item_id is no item; empty tables give no hits or no
-rows; extra columns are ignored, or passed through by ``remove_spans``.
+nothing; items that repeat all count; items without an id hit, and count as one item without a name;
+empty tables give no hits or no rows; extra columns are ignored, or passed through by ``remove_spans``.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .plan import staged
 
 WINDOW = 10
 #: Words of items in one automaton (about 1 KB of worker memory each, with all states).
 BLOCK_TOKENS = 200_000
-#: Most bytes of item text that are shipped to the workers.
-ITEM_BYTES = 512 << 20
+#: Passes in one stage: so many automata are in memory at once on each core.
+CHAIN = 3
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 #: A document is dropped where more than this share of its words is hit; else the hit spans are cut.
 MOST_COVERED = 0.8
@@ -81,7 +84,7 @@ class Matcher:
     def __init__(self, items: list[tuple[object, np.ndarray]], window: int = WINDOW):
         self.window = window
         self.vocabulary = np.unique(np.concatenate([h for _, h in items] or [np.empty(0, np.uint64)]))
-        self.names = [str(i) for i, _ in items]
+        self.names = [None if i is None else str(i) for i, _ in items]
         coded = [np.searchsorted(self.vocabulary, h).tolist() for _, h in items]
         self.shortest = min([window, *(len(c) for c in coded if c)])
         self.machine = m = SuffixAutomaton()
@@ -158,42 +161,33 @@ class Matcher:
         return hit, found
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> list:
-    """Lists of (id, word hashes), of about block_tokens words each; checks the table's size first."""
-    size = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    if size > ITEM_BYTES:
-        raise ValueError(f"the items hold {size} bytes, over {ITEM_BYTES}: scan them in several tables and unite the spans")
-    blocks, room = [], 0
-    for row in benchmark.select(id_col, text_col).filter(F.col(id_col).isNotNull()).toLocalIterator():
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> Iterator[list]:
+    """Lists of (id, word hashes), of about block_tokens words each, one after another."""
+    block, room = [], block_tokens
+    for row in benchmark.select(id_col, text_col).toLocalIterator():
         for c in words.chunks(pa.array([row[1]], pa.string()), words.ALNUM):
-            if room <= 0:
-                blocks.append([])
-                room = block_tokens
-            blocks[-1].append((row[0], c.hashes))
+            block.append((row[0], c.hashes))
             room -= len(c.hashes)
-    return blocks
+        if room <= 0:
+            yield block
+            block, room = [], block_tokens
+    yield block
 
 
-class _Scanner:
-    """Scans chunks with every block; keeps the automaton where there is one block only."""
+_built: dict[tuple[str, int], Matcher] = {}
 
-    def __init__(self, shipped, window: int):
-        self.blocks = pickle.loads(shipped.value)
-        self.window, self.only = window, Matcher(self.blocks[0], window) if len(self.blocks) == 1 else None
 
-    def __call__(self, c: words.Chunk) -> tuple[np.ndarray, dict[int, set[str]]]:
-        hit, names = np.zeros(len(c.hashes), bool), {}
-        for block in self.blocks:
-            matcher = self.only or Matcher(block, self.window)
-            also, found = matcher.scan(c.hashes, c.bounds)
-            hit |= also
-            for k, items in found.items():
-                names.setdefault(k, set()).update(matcher.names[i] for i in items)
-        return hit, names
+def _shipped(context, block: list):
+    return context.broadcast((uuid.uuid4().hex, pickle.dumps(block)))
 
 
-def _ship(docs: DataFrame, benchmark: DataFrame, block_tokens: int):
-    return docs.sparkSession.sparkContext.broadcast(pickle.dumps(item_blocks(benchmark, block_tokens=block_tokens)))
+def _matcher(shipped, window: int) -> Matcher:
+    """The block's automaton; a worker keeps the one it built last."""
+    name, block = shipped.value
+    if (name, window) not in _built:
+        _built.clear()
+        _built[name, window] = Matcher(pickle.loads(block), window)
+    return _built[name, window]
 
 
 def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,25 +195,62 @@ def _runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
+HITS = "n_words long, spans array<struct<start: int, end: int>>, items array<string>"
+
+
+def _scanned(batch: pa.RecordBatch, text_at: int, matcher: Matcher, told: bool, cut=None) -> list[pa.Array]:
+    """The columns of HITS for a batch; those of earlier blocks, where told, are its last columns. ``cut`` sees each hit row."""
+    n_words, spans, items = np.zeros(len(batch), np.int64), [[]] * len(batch), [[]] * len(batch)
+    if told:
+        spans, items = (batch.column(batch.num_columns - i).to_pylist() for i in (2, 1))
+    for c in words.chunks(batch.column(text_at), words.ALNUM):
+        hit, found = matcher.scan(c.hashes, c.bounds)
+        n_words[c.first : c.last] = np.diff(c.bounds)
+        for k in {*found, *(k for k in range(c.last - c.first) if spans[c.first + k])}:
+            i, own = c.first + k, hit[c.bounds[k] : c.bounds[k + 1]]
+            for s in spans[i]:
+                own[s["start"] : s["end"]] = True
+            names = {*items[i], *(matcher.names[x] for x in found.get(k, ()))}
+            items[i] = sorted(names, key=lambda x: (x is None, x))
+            spans[i] = [{"start": int(x), "end": int(y)} for x, y in zip(*_runs(own), strict=True)]
+            if cut:
+                cut(i, c, k, own)
+    return [pa.array(n_words), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))]
+
+
+def _passes(rows: DataFrame, text_col: str, benchmark: DataFrame, window: int, block_tokens: int, last) -> DataFrame:
+    """All blocks but the last add to the hits of the rows; ``last`` makes the result from the rows, the last block and whether hits are told."""
+    context, text_at, blocks = rows.sparkSession.sparkContext, rows.columns.index(text_col), item_blocks(benchmark, block_tokens=block_tokens)
+    plain, block, done = rows.columns, next(blocks), 0
+    kinds = ", ".join(f"`c{i}` {t}" for i, (_, t) in enumerate(rows.dtypes))
+    rows = rows.toDF(*[f"c{i}" for i in range(len(plain))])
+    for following in blocks:
+        shipped, told = _shipped(context, block), done > 0
+
+        def run(batches, shipped=shipped, told=told):
+            for batch in batches:
+                found = _scanned(batch, text_at, _matcher(shipped, window), told)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(plain)], *found], names=[*[f"c{i}" for i in range(len(plain))], "n_words", "spans", "items"])
+
+        rows = rows.mapInArrow(run, f"{kinds}, {HITS}")
+        block, done = following, done + 1
+        if done % CHAIN == 0:
+            rows = staged(rows, "hits")
+    return last(rows, _shipped(context, block), done > 0)
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Per document: key, n_words, spans (hit word ranges, end exclusive), items (sorted names)."""
-    shipped = _ship(docs, benchmark, block_tokens)
-
-    def run(batches):
-        scanner = _Scanner(shipped, window)
-        for batch in batches:
-            for c in words.chunks(batch.column(1), words.ALNUM):
-                hit, found = scanner(c)
-                n = c.last - c.first
-                spans, items = [[] for _ in range(n)], [[] for _ in range(n)]
-                for k, names in found.items():
-                    items[k] = sorted(names)
-                    spans[k] = [{"start": int(x), "end": int(y)} for x, y in zip(*_runs(hit[c.bounds[k] : c.bounds[k + 1]]), strict=True)]
-                columns = [batch.column(0).slice(c.first, n), pa.array(np.diff(c.bounds)), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n_words", "spans", "items"])
-
     kind = docs.select(key).schema[0].dataType.simpleString()
-    return docs.select(key, text_col).mapInArrow(run, f"key {kind}, n_words long, spans array<struct<start: int, end: int>>, items array<string>")
+
+    def last(rows: DataFrame, shipped, told: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_scanned(batch, 1, _matcher(shipped, window), told)], names=["key", "n_words", "spans", "items"])
+
+        return rows.mapInArrow(run, f"key {kind}, {HITS}")
+
+    return _passes(docs.select(F.col(key).alias("key"), F.col(text_col).alias("text")), "text", benchmark, window, block_tokens, last)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: float = MOST_COVERED, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -227,28 +258,29 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mo
 
     Clean rows pass as they are, null texts too.
     """
-    shipped = _ship(docs, benchmark, block_tokens)
-    text_at, size_at = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-
-    def run(batches):
-        scanner = _Scanner(shipped, window)
-        for batch in batches:
-            texts, keep, new = batch.column(text_at), np.ones(len(batch), bool), {}
-            for c in words.chunks(texts, words.ALNUM):
-                hit, found = scanner(c)
-                for k in found:
-                    h = hit[c.bounds[k] : c.bounds[k + 1]]
-                    keep[c.first + k] = h.mean() <= most
-                    new[c.first + k] = _cut(texts[c.first + k].as_py(), c, k, h)
-            columns = list(batch.columns)
-            if new:
-                columns[text_at] = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)
-                if size_at is not None:
-                    sizes = columns[size_at]
-                    columns[size_at] = pa.array([len(new[i]) if i in new else v for i, v in enumerate(sizes.to_pylist())], sizes.type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+    names, text_at, size_at = docs.columns, docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def last(rows: DataFrame, shipped, told: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                texts, keep, new = batch.column(text_at), np.ones(len(batch), bool), {}
+
+                def cut(i, c, k, hit, texts=texts, keep=keep, new=new):
+                    keep[i] = hit.mean() <= most
+                    new[i] = _cut(texts[i].as_py(), c, k, hit)
+
+                _scanned(batch, text_at, _matcher(shipped, window), told, cut)
+                columns = list(batch.columns[: len(names)])
+                if new:
+                    columns[text_at] = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)
+                    if size_at is not None:
+                        sizes = columns[size_at]
+                        columns[size_at] = pa.array([len(new[i]) if i in new else v for i, v in enumerate(sizes.to_pylist())], sizes.type)
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
+
+        return rows.mapInArrow(run, docs.schema)
+
+    return _passes(docs, "text", benchmark, window, block_tokens, last)
 
 
 def n_hit(spans: str = "spans"):
