@@ -33,9 +33,14 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 SENSITIVE_WORDS = ("passw", "secret", "token", "credential", "key", "bearer", "auth", "signature", "cookie")
 #: Code points after or before a sensitive word in which a candidate may start, code points of surroundings
 #: on either side, and the least marginal bytes a code point.
-REACH, AROUND, NOVEL = 48, 256, 0.8
-#: Identifiers and code that real source holds; candidates made of these compress away.
+REACH, AROUND, NOVEL = 48, 256, 0.88
+#: Bytes of the dictionary that stand ahead of both texts, so that neither is too short to be compressed at all.
+PRIMER = 400
+#: Identifiers and code that real source holds, and common words; candidates made of these compress away.
 DICTIONARY = """
+user account id name key value list map set get index count size type file path data item node table column row query result status message event state client server host port url address header body
+content option parameter argument module package version number group order price product customer payment invoice image page view model form field input output start stop create add remove find search filter sort merge
+split parse format load save send receive connect process task job queue worker thread cache buffer stream batch time date zone user_id file_name base_url max_size min_value is_valid has_next to_json from_dict
 public static final void private protected class struct interface import from return function const var let def self this
 String string int integer long float double boolean bool true false null None undefined new delete try except catch finally throw raise
 if else elif for while switch case break continue default lambda async await yield with open read write close flush
@@ -50,16 +55,24 @@ the of and to in that is was for with on as by at from this which not are be hav
 """
 
 
+def in_cases(dictionary: str) -> str:
+    """The dictionary, with its lower-case words also capitalised and in capitals."""
+    plain = [w for w in dictionary.replace("_", " ").split() if w.isalpha() and w.islower()]
+    return f"{dictionary} {' '.join(w.title() for w in plain)} {' '.join(w.upper() for w in plain)}"
+
+
 class Novelty:
     """Marginal compressed bytes of a string within its surroundings."""
 
     def __init__(self, dictionary: str = DICTIONARY):
-        words = zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw = in_cases(dictionary).encode()
+        words = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(raw) >= 8 else None
+        self.primer = raw[:PRIMER]
         self.pack = zstandard.ZstdCompressor(level=19, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False).compress
 
     def marginal(self, before: str, candidate: str, after: str) -> int:
-        around = before.encode("utf-8", "surrogatepass"), after.encode("utf-8", "surrogatepass")
-        return len(self.pack(around[0] + around[1] + candidate.encode())) - len(self.pack(around[0] + around[1]))
+        around = self.primer + before.encode("utf-8", "surrogatepass") + after.encode("utf-8", "surrogatepass") + b" "
+        return len(self.pack(around + candidate.encode())) - len(self.pack(around))
 
 
 def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
@@ -73,19 +86,28 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def novel_spans(text: str, low: str, taken: list[tuple[int, int, int]], novelty: Novelty, least: float = NOVEL) -> list[tuple[int, int, int]]:
+def novel_spans(text: str, low: str, taken: list[tuple[int, int, int]], novelty: Novelty, least: float = NOVEL, reach: int = REACH, around: int = AROUND) -> list[tuple[int, int, int]]:
+    """The candidates that overlap no span of ``taken`` and are novel; linear in the text but for what is packed."""
     if not any(w in low for w in SENSITIVE_WORDS):
         return []
-    ends, starts = zip(*[(m.end(), m.start()) for m in SENSITIVE.finditer(text)]) if SENSITIVE.search(text) else ((), ())
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts, ends = zip(*words, strict=True)
+    lefts, rights, far = [], [], 0  # taken spans by start, with the furthest end so far
+    for a, _, b in sorted(taken):
+        far = max(far, b)
+        lefts.append(a)
+        rights.append(far)
     found = []
-    for m in CANDIDATE.finditer(text) if ends else ():
+    for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        k = bisect_left(ends, start - REACH)  # the first word that ends late enough
-        if k == len(ends) or starts[k] >= max(end, start + REACH + 1):
+        k = bisect_left(ends, start - reach)  # the first word that ends late enough
+        if k == len(ends) or starts[k] >= max(end, start + reach + 1):
             continue
-        if any(a < end and start < b for a, _, b in taken):
+        if (i := bisect_left(lefts, end)) and rights[i - 1] > start:
             continue
-        if novelty.marginal(text[max(0, start - AROUND) : start], text[start:end], text[end : end + AROUND]) >= least * (end - start):
+        if novelty.marginal(text[max(0, start - around) : start], text[start:end], text[end : end + around]) >= least * (end - start):
             found.append((start, 3, end))
     return found
 
@@ -94,18 +116,18 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text_col: str = "text", least: float = NOVEL) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text_col: str = "text", least: float = NOVEL, reach: int = REACH, around: int = AROUND, dictionary: str = DICTIONARY) -> DataFrame:
     """key, n_assign, n_access, n_hex, base_sha256, spans, n_novel for every row."""
 
     def run(batches):
-        novelty = Novelty()
+        novelty = Novelty(dictionary)
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 low = text.lower()
                 base = base_spans(text, low)
-                more = novel_spans(text, low, base, novelty, least)
+                more = novel_spans(text, low, base, novelty, least, reach, around)
                 counts = [sum(k == i for _, k, _ in base) for i in range(3)]
                 rows.append((*counts, sha256(listed(base).encode()).hexdigest(), listed(base + more), len(more)))
             columns = zip(*rows, strict=True) if rows else [[]] * 6
