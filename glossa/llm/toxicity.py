@@ -13,8 +13,8 @@ order of a hash of the id): 60 % of them mine terms, the others fit the model. S
 row and whole texts. Labels, language, source and id are no features.
 
 Defined results: null or empty text has zero features and gets the model's base score; labels that
-are null, or of rows not in the table, are ignored; without two classes of labels fixed weights
-hold; repeated rows repeat; an empty table gives an empty result; other columns are ignored.
+are null, or of rows not in the table, are ignored, and an id with several labels is toxic if one of them
+says so; without two classes of labels fixed weights hold; repeated rows repeat; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ connard salope enculé ordure imbécile pourriture crétin
 gilipollas cabrón hijoputa imbécil estúpido basura escoria pendejo
 """.split()
 REPORTING = re.compile(r"\b(?:said|says|called|calls|wrote|quote[sd]?|quoting|termed|the word|the term|sagte|nannte|a dit|appelle|dijo|llamó)\b", re.I)
-TRAIN_ROWS, TERMS, SPAN, SEED_WEIGHT, LEAST = 10_000, 5000, 25, 3.0, 1.5
+TRAIN_ROWS, SPAN, SEED_WEIGHT, LEAST = 10_000, 25, 3.0, 1.5
+#: Bytes on either side of a hit within which its quotation marks stand, and letters ahead of it that a reporting verb is sought in.
+QUOTE_REACH, VERB_REACH = 240, 40
 STEMS = (5, 7)
 BLOCK = 25
 THRESHOLD = 0.7
@@ -220,15 +222,15 @@ class Lexicon:
 
     @staticmethod
     def is_quoted(c: words.Chunk, i: int, first: int, last: int) -> bool:
-        before = c.data[max(first, c.starts[i] - 240) : c.starts[i]].tobytes().decode("utf-8", "ignore")
-        after = c.data[c.ends[i] : min(last, c.ends[i] + 240)].tobytes().decode("utf-8", "ignore")
+        before = c.data[max(first, c.starts[i] - QUOTE_REACH) : c.starts[i]].tobytes().decode("utf-8", "ignore")
+        after = c.data[c.ends[i] : min(last, c.ends[i] + QUOTE_REACH)].tobytes().decode("utf-8", "ignore")
         for a, b in (("“", "”"), ("„", "“"), ("«", "»")):
             if before.rfind(a) > before.rfind(b) and b in after:
                 return True
         line = before[before.rfind("\n") + 1 :]
         if line.count('"') % 2 == 1 and '"' in after.partition("\n")[0]:
             return True
-        return bool(REPORTING.search(before[-40:]))
+        return bool(REPORTING.search(before[-VERB_REACH:]))
 
 
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -258,7 +260,7 @@ def mine(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     found = terms.groupBy("term").agg(F.sum("toxic").alias("t"), (F.count("*") - F.sum("toxic")).alias("c")).filter("t >= 2")
     t, c = F.col("t") + 0.5, F.col("c") + 0.5
     found = found.withColumn("low", F.log(t / c) - prior - 1.5 * F.sqrt(1 / t + 1 / c)).filter(F.col("low") >= LEAST)
-    top = found.orderBy(F.desc("low"), "term").limit(TERMS).collect()
+    top = found.orderBy(F.desc("low"), "term").collect()  # of at most TRAIN_ROWS texts
     return {r["term"]: r["low"] for r in top if not r["term"].endswith("*")}, {r["term"][:-1]: r["low"] for r in top if r["term"].endswith("*")}
 
 
@@ -301,8 +303,8 @@ def _features(rows: DataFrame, lexicon, columns: str, weights: np.ndarray | None
 
 def train_model(docs: DataFrame, labels: DataFrame, trainable: Column, train_rows: int = TRAIN_ROWS) -> tuple[Lexicon, np.ndarray]:
     """Lexicon and weights from at most ``train_rows`` labelled rows for which ``trainable`` (of doc_id) holds."""
-    known = labels.filter(F.col("toxic").isNotNull() & trainable).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("_h"))
-    known = known.orderBy("_h", "_id", "toxic").limit(train_rows).dropDuplicates(["_id"])
+    known = labels.filter(F.col("toxic").isNotNull() & trainable).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = known.withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(train_rows)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("toxic", "text", F.pmod("_h", F.lit(5)).alias("part"))
     rows = staged(rows, "labelled")
     weights, stems = mine(rows.filter("part < 3"))
