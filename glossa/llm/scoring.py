@@ -11,7 +11,11 @@ and arcs over 1/ARCS (at most ARCS). The weights of all other words and arcs sta
 traversal takes the failure arc and emits what it does not hold, words meet their root and failure
 weights in a shuffle, pairs meet what their arc adds to them (in PASSES parts, one on disk at a
 time), and the sums come back. So the result is the whole automaton's, and WORDS, ARCS and PASSES do not change it. A pair is told by a 64-bit
-combination of its words' hashes where a document's pairs meet the arcs.
+combination of its words' hashes where a document's pairs meet the arcs; pairs that a bitmap of the
+arcs (at most 16 MB) rules out are not shuffled.
+
+A row is told by a 64-bit hash while its sums come together; rows that share one by chance are found
+first and scored apart under another hash.
 
 Defined results: null or empty text is one end token; a null id counts as the text ''; rows that
 repeat are scored each; without training rows every probability is 1 (log 0); an empty table gives
@@ -29,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import staged
+from .plan import MOST_BITS, PAGE, discard, near, staged
 
 #: Words and arcs that workers hold, as parts of all tokens. A held arc's words are held: ARCS <= WORDS.
 WORDS, ARCS = 1 << 22, 1 << 22
@@ -299,19 +303,37 @@ def train_model(train: DataFrame, text_col: str) -> tuple[Model, DataFrame, Data
     state = np.where(x.view(np.uint64) == END, len(v.hashes), v.find(x.view(np.uint64)))
     model = Model(v, facts["n"], facts["v"], facts["once"], facts["texts"], (state << 32) + v.find(w.view(np.uint64)), c, fail)
     gains = arcs(pairs.filter(~held), table, v, fail[:-1]).select("k", (F.log10(p) - F.col("fail") - F.log10(root)).alias("gain"))
-    return model, table, staged(gains, "gains")
+    gains = staged(gains, "gains")
+    discard(pairs)
+    return model, table, gains
+
+
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """Bytes of a bitmap with the low bits of all keys, 16 bits a key up to MOST_BITS; collected in pages."""
+    bits = min(MOST_BITS, max(PAGE, 1 << (16 * keys.count()).bit_length()))
+    slot = F.col(key).bitwiseAND(bits - 1)
+    pages = keys.select(F.shiftright(slot, 15).alias("page"), slot.bitwiseAND(PAGE - 1).alias("at")).groupBy("page").agg(F.bitmap_construct_agg("at").alias("held"))
+    out = np.zeros(bits >> 3, np.uint8)
+    for r in pages.toLocalIterator():
+        out[r["page"] * (PAGE >> 3) : (r["page"] + 1) * (PAGE >> 3)] = np.frombuffer(r["held"], np.uint8)
+    return out
+
 
+def in_bitmap(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = (keys & np.uint64(8 * len(held) - 1)).astype(np.int64)
+    return (held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
-def pair_gains(rows: DataFrame, shipped, gains: DataFrame, number: int) -> DataFrame:
+
+def pair_gains(rows: DataFrame, shipped, gains: DataFrame, number: int, wanted) -> DataFrame:
     """(rid, a): what the arcs that are not held add to each text in one pass."""
 
     def run(batches):
-        m = pickle.loads(shipped.value)
+        m, held = pickle.loads(shipped.value), wanted.value
         for batch in batches:
             for c in words.chunks(batch.column(1)):
                 tokens, bounds = with_ends(c)
                 pairs = paired(preceding(tokens, bounds), tokens)
-                own = np.flatnonzero(in_pass(pairs, number))
+                own = np.flatnonzero(in_pass(pairs, number) & in_bitmap(held, pairs))
                 ids = m.v.find(tokens)
                 own = own[m.arc_of(ids[own], contexts(ids, bounds, len(m.v.hashes))[own]) < 0]
                 # one row for each text and pair, with how often
@@ -333,11 +355,30 @@ def pair_gains(rows: DataFrame, shipped, gains: DataFrame, number: int) -> DataF
     return found.join(gains.hint("shuffle_hash"), "k").groupBy("rid").agg(F.sum(F.col("times") * F.col("gain")).alias("a"))
 
 
-def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Trains on the rows that are not held out and scores all: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text_col: str = "text", row_bits: int = 64) -> DataFrame:
+    """Trains on the rows that are not held out and scores all: key, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``row_bits``: of the hash that tells rows apart at first; it changes no result.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     model, table, gains = train_model(rows.filter(~F.col("held_out")), "text")
-    shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    context = docs.sparkSession.sparkContext
+    automaton = (context.broadcast(pickle.dumps(model)), context.broadcast(bitmap(gains, "k")), table, gains, model)
+    out, bits, seed = [], row_bits, 0
+    while True:
+        own = rows.withColumn("rid", F.xxhash64(F.lit(seed), "key", "text").bitwiseAND((1 << bits) - 1 if bits < 64 else -1))
+        name = F.md5(F.concat_ws("/", F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("text")))
+        shared = own.select("rid", name.alias("name")).groupBy("rid").agg(F.min("name").alias("_a"), F.max("name").alias("_b")).filter("_a <> _b").select("rid")
+        shared = staged(shared, "shared")
+        if shared.isEmpty():
+            return reduce(DataFrame.unionByName, [*out, traversed(own, *automaton)])
+        alone = near(own, F.col("rid"), shared, F.col("rid"), hit=False).unionByName(near(own, F.col("rid"), shared, F.col("rid")).join(shared, "rid", "left_anti"))
+        out.append(traversed(alone, *automaton))
+        rows, bits, seed = staged(near(own, F.col("rid"), shared, F.col("rid")).join(shared, "rid", "left_semi").drop("rid"), "apart"), 64, seed + 1
+
+
+def traversed(rows: DataFrame, shipped, wanted, table: DataFrame, gains: DataFrame, model: Model) -> DataFrame:
+    """The result for rows (rid, key, text, held_out) of which those of one rid are alike."""
 
     def run(batches):
         m = pickle.loads(shipped.value)
@@ -361,9 +402,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text_col: str
                 for i in range(0, len(first), 1 << 16):
                     yield rows.slice(i, 1 << 16)
 
-    rid = F.xxhash64("key", "text")
-    texts = rows.select(rid.alias("rid"), "text")
-    added = [staged(pair_gains(texts, shipped, gains, i), "added") for i in range(PASSES)]
+    texts = rows.select("rid", "text")
+    added = [staged(pair_gains(texts, shipped, gains, i, wanted), "added") for i in range(PASSES)]
     found = texts.mapInArrow(run, "rid long, w long, times long, known long, a double, b double")
     own = F.when(F.col("w").isNull(), 1)
     spread = F.coalesce("w", F.col("rid"))  # rows without a word go anywhere
@@ -379,7 +419,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text_col: str
     sums = part.groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "a", "b")])
     level = float(np.log10(model.total + model.distinct + 1))
     each = lambda c: F.col(c) / F.col("rows")  # noqa: E731  rows that repeat share their sums evenly
-    ids = rows.select(rid.alias("rid"), "key", "held_out")
+    ids = rows.select("rid", "key", "held_out")
     return ids.join(sums, "rid").select(
         "key", "held_out", each("n_tokens").cast("long").alias("n_tokens"), each("n_known").cast("long").alias("n_known"), F.lit(int(model.total)).cast("long").alias("train_tokens"),
         (each("b") - each("n_tokens") * level).alias("base_score"), each("a").alias("score"),
