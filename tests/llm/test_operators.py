@@ -87,6 +87,25 @@ def test_exact_dedup(spark, tmp_path):
         assert sum(r["kept"] for r in got) == len(groups)
 
 
+def test_exact_dedup_goes_on_with_its_state(spark, tmp_path):
+    """A second run reads only the files that came since, and meets the digests of the first."""
+    from glossa.llm import plan
+
+    path, state = str(tmp_path / "d [1].parquet"), str(tmp_path / "state")
+    schema = "doc_id long, text string"
+    spark.createDataFrame([(1, "One"), (2, "two"), (3, "three")], schema).coalesce(1).write.parquet(path)
+    first = exact_dedup.exact_dedup(spark, path, state=state).collect()
+    assert sorted((r["id"], r["keep_id"], r["group_size"]) for r in first) == [(1, 1, 1), (2, 2, 1), (3, 3, 1)]
+    spark.createDataFrame([(4, "one"), (5, "TWO"), (6, "six")], schema).coalesce(1).write.mode("append").parquet(path)
+    again = exact_dedup.exact_dedup(spark, path, state=state).collect()
+    assert sorted((r["id"], r["keep_id"], r["group_size"], r["kept"]) for r in again) == [(1, 4, 2, False), (2, 5, 2, False), (3, 3, 1, True), (4, 4, 2, True), (5, 5, 2, True), (6, 6, 1, True)]
+    second = [b for b in spark.read.parquet(f"{state}/registry").filter("batch = 1").select("digest").collect()]
+    assert len(second) == 3  # the second batch touched its own digests only
+    assert plan.exists(spark, f"{state}/checkpoint")
+    unread = exact_dedup.exact_dedup(spark, path, state=state).collect()  # nothing new: the state answers
+    assert sorted(map(str, unread)) == sorted(map(str, again))
+
+
 def test_mixture(docs, empty):
     got = mixing.mixture(docs).collect()
     size = Counter()
@@ -118,6 +137,15 @@ def test_mixture(docs, empty):
     assert mixed.columns == docs.columns
     blank = sum(not re.search(SPACE, t or "") for _, t, *_ in ROWS)
     assert mixed.filter(F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)) == 0).count() == blank
+    shares = Counter()
+    for r in got:
+        assert r["taken"] == sum(x["words"] for x in r["shares"])
+        for x in r["shares"]:
+            shares[r["source"], x["shard"]] += x["words"]
+    plan = {r["source"]: r for r in mixing.seats(mixing.targets(mixing.sized(docs).groupBy("source").agg(F.sum("size").alias("source_size")))).collect()}
+    for (source, shard), n in shares.items():  # a shard holds its quota of blocks; the last one may be cut at the cap
+        blocks = plan[source]["quota"] * (shard + 1) // mixing.SHARDS - plan[source]["quota"] * shard // mixing.SHARDS
+        assert n <= blocks * plan[source]["block_tokens"] < n + plan[source]["block_tokens"] * 2
     quotas = mixing.shard_quotas(spark_quotas(docs), 8).groupBy("source").agg((F.max("blocks") - F.min("blocks")).alias("d")).collect()
     assert all(r["d"] <= 1 for r in quotas)
 
@@ -142,6 +170,11 @@ def test_sharding(docs, empty):
     for r in got:
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    parts = sharding.shard_rows(docs, shards=5, part_rows=1, bundles=1).collect()  # slots numbered in many parts
+    again = defaultdict(list)
+    for r in parts:
+        again[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in again.values())
     small = sharding.shard_rows(docs.filter("length(text) < 3000 or text is null"), shards=3, whole=1, grain=4, keep=("lang", "size")).collect()
     assert len(small[0]) == 9
     homes = defaultdict(set)
@@ -151,6 +184,29 @@ def test_sharding(docs, empty):
     assert sharding.shard_rows(empty).collect() == []
 
 
+def test_shards_are_near_equal_in_all_three(spark):
+    """A hot source, a large group of copies and long texts; and the packing is the plain one over the same items."""
+    rng = random.Random(4)
+    texts = ["copy " * 30] * 900 + [" ".join(rng.choices(["ab", "cde", "fghij"], k=rng.randint(1, 120))) for _ in range(2000)] + ["x" * 20_000, "y " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sharding.shard_rows(docs, shards=8).collect()
+    size, rows = Counter(), Counter()
+    for r in got:
+        size[r["shard"]] += r["size"]
+        rows[r["shard"]] += 1
+    assert max(size.values()) <= 1.02 * min(size.values())
+    assert max(rows.values()) <= 1.5 * min(rows.values())  # the shards with the long texts hold fewer rows
+    items = np.array([[len(t) + 16, t.count(" ") + 1, 1] for t in texts[900:1200]])
+    plain, left = [], [[1 / 5] * 3 for _ in range(5)]
+    unit = items / items.sum(axis=0)
+    for i in sorted(range(len(items)), key=lambda i: -max(unit[i])):
+        room = [j for j in range(5) if left[j][0] >= unit[i][0]]
+        j = max(room, key=lambda j: (sum(left[j][d] * unit[i][d] for d in range(3)), -j)) if room else max(range(5), key=lambda j: (left[j][0], -j))
+        plain.append((i, j))
+        left[j] = [left[j][d] - unit[i][d] for d in range(3)]
+    assert sharding.place(items, 5).tolist() == [j for _, j in sorted(plain)]
+
+
 def test_near_duplicates(docs, empty):
     got = {(r["id"], r["n_shingles"]): r for r in minhash.near_duplicates(docs).collect()}
     sets, ids = [], []
@@ -278,10 +334,10 @@ def test_decontamination(spark, docs, empty):
         windows = defaultdict(set)
         for i, t in items:
             w = re.findall(alnum, lower(t))
-            if i is not None and w:
+            if w:
                 k = min(10, len(w))
                 for j in range(len(w) - k + 1):
-                    windows[tuple(w[j : j + k])].add(str(i))
+                    windows[tuple(w[j : j + k])].add(None if i is None else str(i))
         want = Counter()
         for i, t, *_ in ROWS:
             w, hit, names = re.findall(alnum, lower(t)), set(), set()
@@ -290,11 +346,13 @@ def test_decontamination(spark, docs, empty):
                     if tuple(w[j : j + k]) in windows:
                         hit |= set(range(j, j + k))
                         names |= windows[tuple(w[j : j + k])]
-            want[(i, len(w), len(hit), tuple(sorted(names)))] += 1
+            want[(i, len(w), len(hit), tuple(sorted(names, key=lambda x: (x is None, x))))] += 1
         assert Counter((r["key"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), tuple(r["items"])) for r in got) == want
     assert decontamination.scan(empty, bench).collect() == []
     clean = decontamination.remove_spans(docs, bench)
     assert clean.columns == docs.columns
+    text = lambda df: sorted(str((r["doc_id"], r["text"], r["n_chars"])) for r in df.collect())
+    assert text(clean) == text(decontamination.remove_spans(docs, bench, block_tokens=5))
     assert not [r for r in decontamination.scan(clean, bench).collect() if r["items"] and r["items"] != ["2"]]
     assert decontamination.remove_spans(docs, spark.createDataFrame([], "item_id long, text string")).count() == len(ROWS)
 
@@ -350,6 +408,13 @@ def test_scoring(docs, empty):
     assert scoring.score(empty, scoring.in_part(F.col("doc_id"), 7, 2)).collect() == []
 
 
+def test_rows_that_share_a_hash_are_told_apart(docs):
+    held = scoring.in_part(F.col("doc_id"), 7, 2)
+    key = lambda r: (r["key"] if r["key"] is not None else -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))
+    want, got = (sorted(map(key, scoring.score(docs, held, row_bits=b).collect())) for b in (64, 4))
+    assert got == want
+
+
 def test_model_is_a_distribution():
     """Arcs, root and unknown mass of each state sum to one."""
     v = scoring.Vocabulary(np.array([5, 9, 14], np.uint64), np.array([6, 3, 3]), 12)
@@ -381,6 +446,45 @@ def test_secrets(docs, empty):
     assert secrets.scan(empty).collect() == []
 
 
+def test_unlabelled_secrets_are_found_and_plain_identifiers_are_not():
+    """Random strings near a sensitive word, in prose, code and settings, against identifiers and words in the same places."""
+    rng = random.Random(12)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    frames = ["the secret for billing is {} as agreed", "Authorization uses bearer {} here", "def login():\n    # auth {}\n    return None", "please send the credential {} to ops", "cookie -> {} ; path=/", "{} is the private key of the host"]
+    parts = "get set user account manager service handler configuration repository controller element request response builder factory context adapter session environment production settings content type".split()
+    secret = ["".join(rng.choices(alphabet, k=rng.randint(20, 48))) for _ in range(300)]
+    plain = ["_".join(rng.sample(parts, 3)) for _ in range(150)] + ["".join(w.title() for w in rng.sample(parts, 3)) for _ in range(150)]
+    novelty = secrets.Novelty()
+
+    def found(words):
+        out = 0
+        for i, w in enumerate(words):
+            text = frames[i % len(frames)].format(w)
+            out += any(text[a:b] == w for a, _, b in secrets.novel_spans(text, text.lower(), [], novelty))
+        return out
+
+    hits, wrong = found(secret), found(plain)
+    assert hits / len(secret) >= 0.9
+    assert hits / (hits + wrong) >= 0.9
+
+
+def test_secret_scan_of_long_tokens_is_linear_and_lists_each_span_once():
+    import time
+
+    text = "x = AuthQ8Zt1LwX0vR5tokenYb2KpM7aZ93kLqPw end"
+    spans = secrets.novel_spans(text, text.lower(), [], secrets.Novelty())
+    assert len(spans) == len(set(spans)) <= 1
+    text = "secret: configuration_identifier_name q8Zt1LwX0vR5nYb2KpM7"
+    assert [text[a:b] for a, _, b in secrets.novel_spans(text, text.lower(), [], secrets.Novelty())] == ["q8Zt1LwX0vR5nYb2KpM7"]
+    took = []
+    for m in (4_000, 64_000):
+        text, began = "token" * m + "1", time.perf_counter()
+        secrets.base_spans(text, text)
+        secrets.novel_spans(text, text, [], secrets.Novelty())
+        took.append(time.perf_counter() - began)
+    assert took[1] < 16 * 8 * max(took[0], 0.01)
+
+
 def test_fuzzy_matches_what_edit_distance_says():
     terms = ["moron", "worthless", "scum"]
 
@@ -405,6 +509,51 @@ def test_fuzzy_matches_what_edit_distance_says():
         assert (i in hit) == any(distance(w, t) <= toxicity.Fuzzy.edits(t.encode()) for t in terms), w
 
 
+def test_features_and_score_against_a_plain_version():
+    """Counts, window, quotation and logistic score, word by word in plain Python."""
+    lexicon = toxicity.Lexicon({**dict.fromkeys(toxicity.SEED, toxicity.SEED_WEIGHT), "zogblat": 2.0}, {"grump": 1.6})
+    weights = np.array([-2.0, 0.9, 0.4, 1.1, 0.3, 0.2, -0.1, 0.7])
+    texts = ["you are an idiot and a zogblat", 'he said "idiot" to them', "a moroon or a grumpiness", "nothing here", "", "idiot " * 40, "they called him scum. " + "fine words " * 30 + "moron"]
+
+    def near(w):
+        return any(abs(len(w) - len(t)) <= 2 and edits(w, t) <= toxicity.Fuzzy.edits(t) for t in toxicity.SEED)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    (c,) = words.chunks(pa.array(texts), words.ALNUM)
+    got = lexicon.features(c)
+    for k, text in enumerate(texts):
+        spans = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))]
+        exact, fuzzy, stem, quoted = [], [], [], []
+        for a, b in spans:
+            w = lower(text)[a:b]
+            weight = 2.0 if w == "zogblat" else 3.0 if w in toxicity.SEED else 0.0
+            exact.append(weight)
+            stem.append(1.6 if not weight and w.startswith("grump") else 0.0)
+            fuzzy.append(3.0 if not weight and (near(w) or edits(w, "zogblat") <= 1) else 0.0)
+            quoted.append(bool(text[:a].count('"') % 2 and '"' in text[b:]) or bool(toxicity.REPORTING.search(text[:a][-40:])) if weight or fuzzy[-1] else False)
+        open_ = [0 if q else w for w, q in zip(exact, quoted)]
+        every = [o + (0 if q else f) + 0.5 * s for o, q, f, s in zip(open_, quoted, fuzzy, stem)]
+        window = max((sum(every[max(0, i - toxicity.SPAN + 1) : i + 1]) for i in range(len(every))), default=0)
+        want = [sum(open_), sum(o > 0 for o in open_), window, sum(stem), sum(0 if q else f for f, q in zip(fuzzy, quoted)), sum(e + f for e, f, q in zip(exact, fuzzy, quoted) if q), 20 * sum(every) / (20 + len(every))]
+        assert got[k].tolist() == pytest.approx([math.log1p(x) for x in want]), text
+    assert (1 / (1 + np.exp(-(weights[0] + got @ weights[1:])))).shape == (len(texts),)
+
+
+def test_an_id_with_several_labels_is_toxic_if_one_says_so(spark):
+    docs = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(i, 1) for i in range(20)], "doc_id long, toxic int")
+    lexicon, weights = toxicity.train_model(docs, labels, F.lit(True))
+    assert weights.tolist() == toxicity.DEFAULT.tolist()  # all toxic: one class
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(200)]
