@@ -10,9 +10,9 @@ a document with a smaller id; so an edge's source is its least document.
    counted in one shuffle, and only documents that hold one go on, with those anchors.
 2. Windows around repeated anchors are edges. Grouped by hash, those in several documents are
    repeated edges with a source coordinate (document and position).
-3. Compaction: at each node the edge that ends there meets the one that begins there. Where a node has
-   one way in and one way out, at successive source coordinates, its two edges are on one path, so
-   repeated nonbranching paths become one row each, named by the coordinate where they begin.
+3. Compaction: each repeated edge meets its head node. Where that has one way in and one way out, and
+   the edge before stands one source coordinate earlier, both are on one path, so repeated nonbranching
+   paths are named by the coordinate where they begin.
 4. Occurrences meet the path of their edge; those that follow one path side by side become one span.
 5. Spans are verified at their source coordinates: a digest of the span's tokens in the source must
    equal the digest of the tokens in the document. Only verified spans are removed. Windows of spans
@@ -60,6 +60,7 @@ def window_anchors(c: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchors(batches):
+    """(class, text) -> class and anchor; runs of one anchor once."""
     for batch in batches:
         for c in words.chunks(batch.column(1), lower=False):
             starts, low = window_anchors(c)
@@ -67,8 +68,8 @@ def _anchors(batches):
                 continue
             doc = np.searchsorted(c.bounds, starts, "right") - 1
             new = np.concatenate([[True], (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])])
-            own = [batch.column(i).slice(c.first, c.last - c.first).take(pa.array(doc[new])) for i in (0, 2)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(low[new].view(np.int64))], names=["id", "class", "anchor"])
+            own = batch.column(0).slice(c.first, c.last - c.first).take(pa.array(doc[new]))
+            yield pa.RecordBatch.from_arrays([own, pa.array(low[new].view(np.int64))], names=["class", "anchor"])
 
 
 def edge_rows(bits: int = BITS):
@@ -127,15 +128,15 @@ def candidates(rows: DataFrame) -> DataFrame:
 
     ``part`` numbers the texts of one id.
     """
-    anchors = rows.filter("id is not null").select("id", "text", "class").mapInArrow(_anchors, "id long, class long, anchor long")
+    known = rows.filter("id is not null")
+    anchors = known.select("class", "text").mapInArrow(_anchors, "class long, anchor long")
     counted = anchors.groupBy("anchor").agg(F.min("class").alias("_a"), F.max("class").alias("_b"), F.count("*").alias("weight"))
     shared = staged(counted.filter("_a < _b").select("anchor", "weight"), "anchors")
     total = shared.agg(F.sum("weight")).first()[0] or 0
-    found = attach(anchors, shared, "anchor", "weight", F.xxhash64("id"), total).filter("weight is not null")
-    own = found.groupBy("class").agg(F.min("id").alias("id"), F.collect_set("anchor").alias("anchors"))
+    found = attach(anchors, shared, "anchor", "weight", F.xxhash64("class"), total).filter("weight is not null")
+    own = found.groupBy("class").agg(F.collect_set("anchor").alias("anchors")).join(known.groupBy("class").agg(F.min("id").alias("id")), "class")
     own = staged(own.withColumn("part", (F.row_number().over(W.partitionBy("id").orderBy("class")) - 1).cast("int")), "own")
-    out = near(rows, F.col("id"), own, F.col("id")).dropDuplicates(["id", "class"]).join(own, ["id", "class"])
-    out = staged(out.select("id", "text", "anchors", "part", "class"), "candidates")
+    out = staged(near(known, F.col("id"), own, F.col("id")).join(own, ["id", "class"]).select("id", "text", "anchors", "part", "class"), "candidates")
     discard(shared, own)
     return out
 
@@ -148,16 +149,16 @@ def paths(edges: DataFrame) -> DataFrame:
     found = edges.groupBy("edge").agg(F.min(F.struct("id", "pos")).alias("top"), F.max("id").alias("_last"), F.count("*").alias("weight"), F.min("head").alias("head"), F.min("tail").alias("tail"))
     found = found.filter(F.col("top.id") < F.col("_last")).select("edge", "weight", F.col("top.id").alias("source"), F.col("top.pos").alias("at"), "head", "tail")
     found = staged(found, "repeated")
-    coordinate = F.struct("edge", "source", "at")
-    none = F.lit(None).cast("struct<edge: bigint, source: bigint, at: bigint>")
-    ends = found.select(F.explode(F.array(F.struct(F.col("tail").alias("node"), coordinate.alias("into"), none.alias("out")), F.struct(F.col("head").alias("node"), none.alias("into"), coordinate.alias("out")))).alias("e"))
-    nodes = ends.groupBy("e.node").agg(F.count("e.into").alias("ways_in"), F.count("e.out").alias("ways_out"), F.max("e.into").alias("into"), F.max("e.out").alias("out"))
-    along = (F.col("into.source") == F.col("out.source")) & (F.col("into.at") + 1 == F.col("out.at"))
-    goes_on = nodes.filter((F.col("ways_in") == 1) & (F.col("ways_out") == 1) & along).select(F.col("out.edge").alias("edge"), F.lit(True).alias("goes_on"))
-    joined = found.select("edge", "weight", "source", "at").join(goes_on, "edge", "left")
+    ends = found.select(F.explode(F.array(F.struct(F.col("head").alias("node"), F.lit(1).alias("out")), F.struct(F.col("tail").alias("node"), F.lit(0).alias("out")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.count("*").alias("ways"))
+    branching = nodes.filter("out <> 1 or ways <> 2").select(F.col("node").alias("head"), F.lit(True).alias("opens"))
+    joined = found.select("edge", "weight", "source", "at", "head").join(branching, "head", "left")
+    along = W.partitionBy("source").orderBy("at")
+    opens = F.col("opens").isNotNull() | ~F.lag("at").over(along).eqNullSafe(F.col("at") - 1)
+    joined = joined.withColumn("opens", opens)
     before = W.partitionBy("source").orderBy("at").rowsBetween(W.unboundedPreceding, 0)  # at most one document's words
-    begin = F.max(F.when(F.col("goes_on").isNull(), F.col("at"))).over(before)
-    out = staged(joined.withColumn("begin", begin).drop("goes_on"), "paths")
+    begin = F.max(F.when(F.col("opens"), F.col("at"))).over(before)
+    out = staged(joined.withColumn("begin", begin).select("edge", "weight", "source", "at", "begin"), "paths")
     discard(found)
     return out
 
@@ -182,7 +183,7 @@ def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
     total = found.agg(F.sum("weight")).first()[0] or 0
     met = attach(edges.select("id", "pos", "edge"), found, "edge", "weight", F.xxhash64("id", "pos"), total)
     met = met.filter("source < id or (source = id and pos <> at)").withColumn("shift", F.col("pos") - F.col("at"))
-    follow = met.groupBy("id", "source", "begin", "shift").agg(F.sort_array(F.collect_list("pos")).alias("s"))
+    follow = met.groupBy("id", "source", "begin", "shift").agg(F.sort_array(F.collect_set("pos")).alias("s"))
     heads = F.expr("filter(s, (x, i) -> i = 0 or s[i - 1] + 1 <> x)")
     lasts = F.expr("filter(s, (x, i) -> i = size(s) - 1 or s[i + 1] - 1 <> x)")
     runs = follow.select("id", "source", "shift", F.explode(F.arrays_zip(heads.alias("first"), lasts.alias("last"))).alias("run"))
@@ -191,35 +192,45 @@ def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
     return out
 
 
-class Tokens:
-    """The words of one text of a chunk, joined by one space, by position."""
+class Joined:
+    """The words of a chunk, each followed by one space, as one text; ``at`` has the offsets of the words in it."""
 
-    def __init__(self, c: words.Chunk, k: int):
-        a, b = int(c.bounds[k]), int(c.bounds[k + 1])
-        raw = c.data[c.starts[a] : c.ends[b - 1]].tobytes() if a < b else b""
-        base = int(c.starts[a]) if a < b else 0
-        self.joined = b" ".join([raw[x - base : y - base] for x, y in zip(c.starts[a:b].tolist(), c.ends[a:b].tolist(), strict=True)])
-        self.offsets = np.concatenate([[0], np.cumsum(c.ends[a:b] - c.starts[a:b] + 1)])
+    def __init__(self, c: words.Chunk):
+        inside = words.SPACE[c.data]
+        ends = np.zeros(len(inside), bool)
+        ends[1:] = inside[:-1]  # with the first byte after each word
+        self.data = np.where(inside, c.data, np.uint8(0x20))[inside | ends]
+        self.at = np.concatenate([[0], np.cumsum(c.ends - c.starts + 1)])
+        self.raw = memoryview(self.data.tobytes())
 
     def digest(self, first: int, n: int) -> bytes:
-        return blake2b(self.joined[self.offsets[first] : self.offsets[first + n] - 1], digest_size=16).digest()
+        return blake2b(self.raw[self.at[first] : self.at[first + n] - 1], digest_size=16).digest()
+
+    def without(self, hit: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts without the words that are hit."""
+        sizes = np.diff(self.at) * ~hit
+        kept = self.data[np.repeat(~hit, np.diff(self.at))]
+        stops = np.concatenate([[0], np.cumsum(sizes)])[bounds]
+        raw = kept.tobytes()
+        return pa.array([raw[x : max(x, y - 1)].decode("utf-8", "surrogatepass") for x, y in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)], pa.string())
 
 
 def _digests(batches):
     """(id, part, text, spans of position and number of words) -> id, position, number, digest of the tokens there."""
     for batch in batches:
         for c in words.chunks(batch.column(2), lower=False):
+            joined = Joined(c)
             for k in range(c.first, c.last):
-                own, part, spans = Tokens(c, k - c.first), batch.column(1)[k].as_py() * PART, batch.column(3)[k].as_py()
-                digests = [own.digest(s["at"] - part, s["n"]) for s in spans]
+                begin, spans = int(c.bounds[k - c.first]) - batch.column(1)[k].as_py() * PART, batch.column(3)[k].as_py()
+                digests = [joined.digest(begin + s["at"], s["n"]) for s in spans]
                 columns = [pa.array([batch.column(0)[k].as_py()] * len(spans), pa.int64()), *[pa.array([s[x] for s in spans], pa.int64()) for x in ("at", "n")], pa.array(digests, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "n", "digest"])
 
 
 def digests_at(cands: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, at, n, digest) of distinct (id, at, n): the tokens that stand in candidate id from position at on."""
-    places = places.groupBy("id", F.shiftright("at", 32).cast("int").alias("part")).agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    met = cands.select("id", "part", "text").join(places, ["id", "part"])
+    """(id, at, n, digest) of distinct staged (id, at, n): the tokens that stand in candidate id from position at on."""
+    lists = places.groupBy("id", F.shiftright("at", 32).cast("int").alias("part")).agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    met = near(cands, F.col("id"), places, F.col("id")).select("id", "part", "text").join(lists, ["id", "part"])
     return met.select("id", "part", "text", "spans").mapInArrow(_digests, "id long, at long, n long, digest binary")
 
 
@@ -229,18 +240,10 @@ def told_spans(cands: DataFrame, spans: DataFrame) -> DataFrame:
     keyed = spans.withColumn("place", place)
     wanted = staged(keyed.groupBy("place").agg(F.count("*").alias("weight"), F.any_value("source").alias("id"), F.any_value("at").alias("at"), (F.any_value(F.col("last") - F.col("first")) + WINDOW).alias("n")), "places")
     found = digests_at(cands, wanted.select("id", "at", "n")).select(F.concat_ws(":", "id", "at", F.col("n") - WINDOW).alias("place"), "digest")
-    told = staged(found.join(wanted.select("place", "weight"), "place"), "told")
+    told = staged(found.join(wanted.select("place", "weight"), "place").dropDuplicates(["place"]), "told")
     return attach(keyed, told, "place", "weight", F.xxhash64("id", "first"), spans.count()).drop("place", "weight")
 
 
-def _covered(n: int, spans: list[tuple[int, int]]) -> np.ndarray:
-    marks = np.zeros(n + 1, np.int32)
-    for first, last in spans:
-        marks[first] += 1
-        marks[min(last + WINDOW, n)] -= 1
-    return np.cumsum(marks[:n]) > 0
-
-
 GONE = "array<struct<first: bigint, last: bigint, digest: binary>>"
 REBUILT = "id long, n_words long, n_removed long, kept string, failed array<struct<first: bigint, last: bigint>>"
 FAILED = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -254,26 +257,27 @@ def _rebuilt(batches):
     for batch in batches:
         told = batch.num_columns > 2
         for c in words.chunks(batch.column(1), lower=False):
-            raw, rows = c.data.tobytes(), []
-            for k in range(c.last - c.first):
+            joined, counts, failed = Joined(c), np.diff(c.bounds), [[] for _ in range(c.last - c.first)]
+            marks = np.zeros(len(c.hashes) + 1, np.int32)  # +1 where removal begins, -1 where it ends
+            for k in range(c.last - c.first) if told else ():
                 a, b = int(c.bounds[k]), int(c.bounds[k + 1])
-                hit, failed = np.zeros(b - a, bool), []
-                if told and batch.column(3)[c.first + k].as_py():
-                    hit[:] = b - a >= WINDOW
-                elif told and (spans := batch.column(2)[c.first + k].as_py()):
-                    own, part, good = Tokens(c, k), batch.column(4)[c.first + k].as_py() * PART, []
-                    for s in spans:
-                        first, last = s["first"] - part, s["last"] - part
-                        if s["digest"] is None or own.digest(first, last - first + WINDOW) == s["digest"]:
-                            good.append((first, last))
-                        else:
-                            failed.append({"first": s["first"], "last": s["last"]})
-                    hit = _covered(b - a, good)
-                kept = b" ".join([raw[x:y] for x, y in zip(c.starts[a:b][~hit].tolist(), c.ends[a:b][~hit].tolist(), strict=True)])
-                rows.append((b - a, int(hit.sum()), kept.decode("utf-8", "surrogatepass"), failed))
-            n, less, text, failed = zip(*rows, strict=True)
-            columns = [batch.column(0).slice(c.first, c.last - c.first), pa.array(n, pa.int64()), pa.array(less, pa.int64()), pa.array(text, pa.string()), pa.array(failed, FAILED)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "n_removed", "kept", "failed"])
+                if batch.column(3)[c.first + k].as_py():
+                    if b - a >= WINDOW:
+                        marks[a] += 1
+                        marks[b] -= 1
+                    continue
+                begin = a - batch.column(4)[c.first + k].as_py() * PART
+                for s in batch.column(2)[c.first + k].as_py() or ():
+                    first, stop = begin + s["first"], begin + s["last"] + WINDOW
+                    if s["digest"] is None or joined.digest(first, stop - first) == s["digest"]:
+                        marks[first] += 1
+                        marks[stop] -= 1
+                    else:
+                        failed[k].append({"first": s["first"], "last": s["last"]})
+            hit = np.cumsum(marks[:-1]) > 0
+            removed = np.diff(np.concatenate([[0], np.cumsum(hit)])[c.bounds])
+            own = batch.column(0).slice(c.first, c.last - c.first)
+            yield pa.RecordBatch.from_arrays([own, pa.array(counts), pa.array(removed), joined.without(hit, c.bounds), pa.array(failed, FAILED)], names=["id", "n_words", "n_removed", "kept", "failed"])
 
 
 def regrouped(cands: DataFrame, spans: DataFrame, failed: DataFrame) -> DataFrame:
@@ -287,8 +291,8 @@ def regrouped(cands: DataFrame, spans: DataFrame, failed: DataFrame) -> DataFram
     clash = each.join(bad, ["id", "pos"]).select("source", "at").distinct()
     held = each.join(clash, ["source", "at"]).unionByName(clash.select(F.col("source").alias("id"), "source", F.col("at").alias("pos"), "at"))
     held = staged(held, "clashes")
-    found = digests_at(cands, held.select("id", F.col("pos").alias("at"), F.lit(WINDOW).cast("long").alias("n")).distinct())
-    own = held.join(found.select("id", F.col("at").alias("pos"), "digest"), ["id", "pos"])
+    found = digests_at(cands, staged(held.select("id", F.col("pos").alias("at"), F.lit(WINDOW).cast("long").alias("n")).distinct(), "places"))
+    own = held.join(found.select("id", F.col("at").alias("pos"), "digest").dropDuplicates(["id", "pos"]), ["id", "pos"])
     least = own.groupBy("source", "at", "digest").agg(F.min("id").alias("least"))
     gone = own.join(least, ["source", "at", "digest"]).filter("least < id").join(bad, ["id", "pos"], "left_semi")
     return gone.select("id", F.col("pos").alias("first"), F.col("pos").alias("last")).distinct()
@@ -305,12 +309,12 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text_col: str = "text
     def removals(found: DataFrame) -> DataFrame:
         """(id, class, spans, whole, part) of (id, first, last, digest)."""
         lists = found.groupBy("id", part).agg(F.collect_list(F.struct("first", "last", "digest")).alias("spans"))
-        return lists.join(cands.select("id", "part", "class"), ["id", "part"]).withColumn("whole", F.lit(False))
+        return lists.join(cands.select("id", "part", "class").distinct(), ["id", "part"]).withColumn("whole", F.lit(False))
 
     def rebuilt(gone: DataFrame, ids: DataFrame) -> DataFrame:
         # Only documents near a removal are shuffled to meet it; the filter's other hits find none.
         met = near(rows, F.col("id"), ids, F.col("id")).join(gone, ["id", "class"], "left")
-        return met.select("id", "text", "spans", "whole", F.coalesce("part", F.lit(0)).alias("part"), "class")
+        return met.select("id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"), F.coalesce("part", F.lit(0)).alias("part"), "class")
 
     none: dict[str, Column] = {"spans": F.lit(None).cast(GONE), "whole": F.lit(True), "part": F.lit(0)}
     gone = staged(removals(told_spans(cands, spans.filter("source < id"))).unionByName(copies.withColumns(none)), "gone")
