@@ -175,8 +175,11 @@ def in_pass(pairs: np.ndarray, number: int) -> np.ndarray:
     return (pairs >> np.uint64(32)) % np.uint64(PASSES) == number
 
 
-def bigrams(train: DataFrame, text_col: str) -> DataFrame:
-    """(x, w, c): counts of all pairs of a context and its successor."""
+def bigrams(train: DataFrame, text_col: str, repeated=None) -> DataFrame:
+    """(x, w, c): counts of all pairs of a context and its successor, or of those whose words may both be in the bitmap ``repeated``.
+
+    A pair that is seen twice has words that are, so pairs of others need no count.
+    """
 
     def split(out):
         k, x = (out.column(i).to_numpy().view(np.uint64) for i in (0, 2))
@@ -188,6 +191,11 @@ def bigrams(train: DataFrame, text_col: str) -> DataFrame:
             for c in words.chunks(batch.column(0)):
                 tokens, bounds = with_ends(c)
                 before = preceding(tokens, bounds)
+                if repeated is not None:
+                    often = in_bitmap(repeated.value, tokens) | (tokens == END)
+                    both = often.copy()
+                    both[1:] &= often[:-1] | (before[1:] == END)
+                    before, tokens = before[both], tokens[both]
                 yield from map(split, counter.add(paired(before, tokens), before))
         yield from map(split, counter.rest())
 
@@ -286,7 +294,8 @@ def train_model(train: DataFrame, text_col: str) -> tuple[Model, DataFrame, Data
     common = (F.col("c") * WORDS > facts["n"]) | (F.col("w") == int(END.view(np.int64)))
     h, n = _collect(table.filter(common), "w", "c")
     v = Vocabulary(h.view(np.uint64), n, facts["n"])
-    pairs = staged(bigrams(train, text_col).filter(F.col("c") >= LEAST), "pairs")
+    repeated = train.sparkSession.sparkContext.broadcast(bitmap(table.filter(F.col("c") >= LEAST), "w"))
+    pairs = staged(bigrams(train, text_col, repeated).filter(F.col("c") >= LEAST), "pairs")
 
     p = (F.col("c") - DISCOUNT) / F.col("nx")
     root = (1 - unknown_mass(facts["n"], facts["once"])) * F.col("nw") / max(facts["n"], 1)
