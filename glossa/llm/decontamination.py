@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import staged
+from .plan import bounded_batches, staged
 
 WINDOW = 10
 #: Words of items in one automaton (about 1 KB of worker memory each, with all states).
@@ -220,6 +220,7 @@ def _scanned(batch: pa.RecordBatch, text_at: int, matcher: Matcher, told: bool,
 
 def _passes(rows: DataFrame, text_col: str, benchmark: DataFrame, window: int, block_tokens: int, last) -> DataFrame:
     """All blocks but the last add to the hits of the rows; ``last`` makes the result from the rows, the last block and whether hits are told."""
+    bounded_batches(rows.sparkSession)
     context, text_at, blocks = rows.sparkSession.sparkContext, rows.columns.index(text_col), item_blocks(benchmark, block_tokens=block_tokens)
     plain, block, done = rows.columns, next(blocks), 0
     kinds = ", ".join(f"`c{i}` {t}" for i, (_, t) in enumerate(rows.dtypes))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .components import components
-from .plan import attach, discard, meet, near, staged
+from .plan import attach, bounded_batches, discard, meet, near, staged
 
 K, BANDS, ROWS, SIGNATURE, BITS = 5, 50, 4, 128, 4
 #: Links have 100 * intersection >= LEVEL * union.
@@ -192,6 +192,7 @@ def apart(met: DataFrame, label: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """id, text_key, n, component for every row of (id, text). text_key is a hash of the text."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select("id", F.xxhash64("text").alias("text_key"), "text")
     kind = "id long, text_key long, n long, node long, bands array<long>, codes array<long>"
     features = staged(docs.mapInArrow(_features, kind), "features")

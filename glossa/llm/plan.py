@@ -12,9 +12,18 @@ HEAVY = 1000
 #: Bits of a membership filter: FILTER_SPACE for each wanted key, between a page and MOST_BITS (16 MB broadcast).
 PAGE, FILTER_SPACE, MOST_BITS = 1 << 15, 16, 1 << 27
 
+#: Bytes of a batch that goes to a Python worker: rows are many or long, and both sides hold a batch whole.
+BATCH_BYTES = 4 << 20
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Bounds the batches of the session's Python stages by bytes (a single row may be longer); the default bounds rows only."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; where it is unset in local mode (tests), one under the warehouse.
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import MOST_BITS, PAGE, discard, near, staged
+from .plan import MOST_BITS, PAGE, bounded_batches, discard, near, staged
 
 #: Words and arcs that workers hold, as parts of all tokens. A held arc's words are held: ARCS <= WORDS.
 WORDS, ARCS = 1 << 22, 1 << 22
@@ -369,6 +369,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text_col: str
 
     ``row_bits``: of the hash that tells rows apart at first; it changes no result.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     model, table, gains = train_model(rows.filter(~F.col("held_out")), "text")
     context = docs.sparkSession.sparkContext

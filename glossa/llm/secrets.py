@@ -22,6 +22,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from .plan import bounded_batches
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -134,5 +136,6 @@ def scan(docs: DataFrame, key: str = "doc_id", text_col: str = "text", least: fl
             arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["key", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"])
 
+    bounded_batches(docs.sparkSession)
     kind = docs.select(key).schema[0].dataType.simpleString()
     return docs.select(key, text_col).mapInArrow(run, f"key {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long")

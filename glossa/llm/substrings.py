@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import attach, discard, near, staged
+from .plan import attach, bounded_batches, discard, near, staged
 
 WINDOW, ANCHOR = 13, 8
 #: Bits of an edge's identity. Fewer make more spans fail their verification and change no result.
@@ -113,6 +113,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     A class is a 64-bit hash of the text's digest, checked against the digests: should two texts
     share one, every id is a class of its own, and there are no copies to pass over.
     """
+    bounded_batches(docs.sparkSession)
     own = F.xxhash64(F.md5("text"))
     rows = docs.filter("id is not null and text is not null").select("id", own.alias("class"), F.md5("text").alias("digest"))
     found = staged(rows.groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.min("digest").alias("_lo"), F.max("digest").alias("_hi")).filter("copies > 1"), "classes")

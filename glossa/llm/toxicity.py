@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .plan import staged
+from .plan import bounded_batches, staged
 
 #: Fixed seed terms.
 SEED = """
@@ -45,6 +45,8 @@ TRAIN_ROWS, SPAN, SEED_WEIGHT, LEAST = 10_000, 25, 3.0, 1.5
 QUOTE_REACH, VERB_REACH = 240, 40
 STEMS = (5, 7)
 BLOCK = 25
+#: Words that a worker remembers with their answer before it begins anew.
+MET = 1 << 19
 THRESHOLD = 0.7
 FEATURES = 7
 #: Bias and weights where the labels have one class only.
@@ -172,6 +174,7 @@ class Lexicon:
         exact = words_of(list(weights))
         order = np.argsort(exact)
         self.hashes, self.weight = exact[order], np.array(list(weights.values()))[order]
+        self.met, self.met_hit = np.empty(0, np.uint64), np.empty(0, bool)
         self.fuzzy = fuzzy_blocks([*{*SEED, *[t for t in weights if len(t) >= 5]}])
         self.stems: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in {len(s.encode()) for s in stems}:
@@ -194,15 +197,12 @@ class Lexicon:
             stem[long] = np.maximum(stem[long], _looked_up(h, w, words.hash_spans(c.data, c.starts[long], c.starts[long] + size)))
         stem[weight > 0] = 0
         near = np.zeros(len(c.hashes))
-        _, first, same = np.unique(c.hashes, return_index=True, return_inverse=True)
-        spelt = letters_of(c.data, c.starts[first], c.ends[first])
-        hit = np.zeros(len(first), bool)
-        for fuzzy in self.fuzzy:
-            hit[fuzzy.walk(*spelt)[0]] = True
-        near[hit[same]] = SEED_WEIGHT
+        near[self.misspelt(c)] = SEED_WEIGHT
         near[weight > 0] = 0
         quoted = np.zeros(len(c.hashes), bool)
-        for i in np.flatnonzero((weight > 0) | (near > 0)):
+        hits = np.flatnonzero((weight > 0) | (near > 0))
+        may_quote = {k: self.may_quote(c, int(c.offsets[k]), int(c.offsets[k + 1])) for k in np.unique(doc[hits]).tolist()}
+        for i in hits[[may_quote[k] for k in doc[hits].tolist()]] if len(hits) else ():
             quoted[i] = self.is_quoted(c, int(i), int(c.offsets[doc[i]]), int(c.offsets[doc[i] + 1]))
         total = lambda x: np.bincount(doc, x, n)
         open_ = np.where(quoted, 0, weight)
@@ -220,6 +220,34 @@ class Lexicon:
         out[:, 6] = 20 * total(every) / (20 + count)
         return np.log1p(out)
 
+    def misspelt(self, c: words.Chunk) -> np.ndarray:
+        """Whether some automaton accepts each word. Words met before are looked up, the others walk all automata once."""
+        words_, first, same = np.unique(c.hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.met, words_)
+        known = np.zeros(len(words_), bool)
+        inside = at < len(self.met)
+        known[inside] = self.met[at[inside]] == words_[inside]
+        hit = np.zeros(len(words_), bool)
+        hit[known] = self.met_hit[at[known]]
+        new = np.flatnonzero(~known)
+        letters, starts, ends = letters_of(c.data, c.starts[first[new]], c.ends[first[new]])
+        sizes = ends - starts
+        stops = np.cumsum(sizes)
+        letters = letters[np.repeat(starts - stops + sizes, sizes) + np.arange(int(sizes.sum()))]  # of the new words only
+        for fuzzy in self.fuzzy:
+            hit[new[fuzzy.walk(letters, stops - sizes, stops)[0]]] = True
+        if len(self.met) > MET:
+            self.met, self.met_hit = words_, hit
+        else:
+            self.met, self.met_hit = np.insert(self.met, at[new], words_[new]), np.insert(self.met_hit, at[new], hit[new])
+        return hit[same]
+
+    @staticmethod
+    def may_quote(c: words.Chunk, first: int, last: int) -> bool:
+        """Whether a text has any mark or verb that is_quoted looks for."""
+        text = c.data[first:last].tobytes().decode("utf-8", "ignore")
+        return any(mark in text for mark in '"“„«') or bool(REPORTING.search(text))
+
     @staticmethod
     def is_quoted(c: words.Chunk, i: int, first: int, last: int) -> bool:
         before = c.data[max(first, c.starts[i] - QUOTE_REACH) : c.starts[i]].tobytes().decode("utf-8", "ignore")
@@ -303,6 +331,7 @@ def _features(rows: DataFrame, lexicon, columns: str, weights: np.ndarray | None
 
 def train_model(docs: DataFrame, labels: DataFrame, trainable: Column, train_rows: int = TRAIN_ROWS) -> tuple[Lexicon, np.ndarray]:
     """Lexicon and weights from at most ``train_rows`` labelled rows for which ``trainable`` (of doc_id) holds."""
+    bounded_batches(docs.sparkSession)
     known = labels.filter(F.col("toxic").isNotNull() & trainable).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(train_rows)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("toxic", "text", F.pmod("_h", F.lit(5)).alias("part"))

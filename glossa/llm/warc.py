@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plan import attach, discard, drop_folder, near, new_folder, staged
+from .plan import attach, bounded_batches, discard, drop_folder, near, new_folder, staged
 
 MIN_BYTES = 1000
 #: Most bytes of a payload in the class (none: any), and rows a file.
@@ -209,7 +209,7 @@ def read_records(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(folder)
+    files = bounded_batches(spark).read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(folder)
     return files.select("content").mapInArrow(parse, RECORD)
 
 
