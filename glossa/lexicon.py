@@ -354,6 +354,21 @@ STUDY_HELPS = {"bd": "Bible Dictionary", "gs": "Guide to the Scriptures", "tg":
 #: History titles by their code in links.
 HISTORIES = {"saints-v1": "Saints, Volume 1", "saints-v2": "Saints, Volume 2", "saints-v3": "Saints, Volume 3", "saints-v4": "Saints, Volume 4", "topics": "Church History Topics", "joseph-smith-papers": "The Joseph Smith Papers"}
 
+#: What names a publisher after "Place:"; * stands for more letters.
+PUBLISHERS = _listed("""
+Press; Books?; Publish*; House; Co.; Company; Inc.?; Ltd.?; Sons; University; Office; Center; Centre; Society; Union; Board; Club;
+Library; Institute; Foundation; Association; Deseret Book; Bookcraft; Harper*; Random House; Penguin; Macmillan; Scribner*;
+Doubleday; Norton; Zondervan; Eerdmans; Collier; Knopf; Viking; Bantam; Dover; Ballantine; Signet; Dell; Putnam*; Dutton; Holt;
+Lippincott; Little, Brown; Houghton; Mifflin; Crowell; Revell; Baker; Moody; Nelson; Crossway; Tyndale; InterVarsity; Augsburg;
+Fortress; Westminster; Abingdon; Beacon; Basic Books; Free Press; Crown; Hachette; Hyperion; Simon; Schuster; Wiley; McGraw;
+Prentice; Pearson; Routledge; Blackwell; Vintage; Anchor; Mentor; Everyman; Bobbs; Grosset; Rinehart; Harcourt; Brace; Collins;
+Fontana; Faber; Hodder; Methuen; Longman*; Bles; Hendrickson; Kregel; Bethany; Multnomah; Shadow Mountain; Covenant; Cedar Fort;
+Signature; Intellectual Reserve; Religious Studies Center; Church Historian; Juvenile Instructor; Sunday School Union; Shambhala;
+Jossey-Bass; Portfolio; Public Affairs; Palgrave; Springer; Elsevier; Academic; Gallimard; Seuil; Mondadori; Planeta; Alfaguara;
+Paulist; Orbis; Ignatius; Regnery; Encounter; Modern Library; Loeb; World Publishing; Meridian; Oxford; Cambridge; Yale; Harvard;
+Princeton; Chicago; Columbia; Stanford; BYU; Brigham Young University; Religious Tract; Bible Society
+""")
+
 # Defaults that callers may extend (Lexicon): common cases only.
 
 TITLE_WORDS = _listed("""
@@ -386,8 +401,9 @@ solomon; joshua; samuel; elijah; lewis; teresa
 #: Mononyms too common as first names or words to be taken from running text without a verb.
 COMMON_FIRST_NAMES = _listed("""
 paul; peter; james; john; mark; luke; matthew; david; job; daniel; jacob; joseph; benjamin; samuel; mormon; moroni; nephi; alma; lehi;
-enos; helaman; ammon; abinadi; amulek; jude; isaiah; jeremiah; ezekiel; moses; abraham; isaac; solomon; joshua; elijah; teresa;
-lewis; newton; jung; frost; hugo; poe
+enos; helaman; ammon; abinadi; amulek; jude; isaiah; jeremiah; ezekiel; hosea; amos; micah; malachi; moses; abraham; isaac; solomon;
+joshua; elijah; elisha; jonah; teresa; lewis; newton; jung; mann; frost; burns; scott; hardy; pope; watts; knox; young; smith;
+swift; hugo; gogol; poe
 """)
 CITIES = _listed("""
 Salt Lake City; New York; Provo; Boston; London; Chicago; San Francisco; Grand Rapids; Philadelphia; Princeton; Cambridge; Oxford;
