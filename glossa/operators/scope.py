@@ -19,7 +19,7 @@ FIRST_YEAR = 1971
 
 @dataclass(frozen=True)
 class Scope:
-    """Years from first to last (None: open), one month or both conferences, one talk or all."""
+    """Years from first to last (None: from FIRST_YEAR to the present), one month or both conferences, one talk or all."""
 
     first: int | None = None
     last: int | None = None
@@ -27,9 +27,8 @@ class Scope:
     slug: str | None = None
 
     def condition(self) -> Column:
-        out = F.lit(True)
-        if self.first is not None:
-            out = out & F.col("year").between(self.first, self.last)
+        last = F.year(F.current_date()) if self.last is None else F.lit(self.last)
+        out = F.col("year").between(FIRST_YEAR if self.first is None else self.first, last)
         out = out & (F.col("month") == self.month if self.month else F.col("month").isin(4, 10))
         return out & (F.col("slug") == self.slug) if self.slug else out
 
@@ -59,8 +58,12 @@ def select(refs: DataFrame, selector: str = "all", session: str | None = None, s
     out = refs.filter(scope.condition())
     if scope.slug and out.isEmpty():
         raise ValueError(f"talk {scope.slug!r} not found in {selector}")
+    return narrowed(out, session, speaker, include_non_talks, is_talk())
+
+
+def narrowed(rows: DataFrame, session: str | None, speaker: str | None, include_non_talks: bool, talk: Column) -> DataFrame:
     if session:
-        out = out.filter(F.lower("session").contains(session.lower().replace("-", " ")))
+        rows = rows.filter(F.lower("session").contains(session.lower().replace("-", " ")))
     if speaker:
-        out = out.filter(F.lower("speaker").contains(speaker.lower()))
-    return out if include_non_talks else out.filter(is_talk())
+        rows = rows.filter(F.lower("speaker").contains(speaker.lower()))
+    return rows if include_non_talks else rows.filter(talk)

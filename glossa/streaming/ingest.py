@@ -1,7 +1,8 @@
 """Streaming ingest: pages that arrive in the archive are parsed and extracted as they come.
 
-Each micro-batch overwrites the conferences it touches batch by batch under its number, so a batch
-that is repeated after a failure replaces itself.
+Each micro-batch is saved as a rerun over its talks would be: their citations are replaced, those of other
+talks stay. So a page that arrives again, as a new file, replaces itself, and so does a batch that is
+repeated. A file that is rewritten in place is not read again: that is how file streams tell files.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema
 from ..operators import fold, pages
+from ..plans import pipeline
 from ..sources.archive import JSON
 
 
@@ -25,11 +27,13 @@ def pages_stream(spark: SparkSession, root: str) -> DataFrame:
 
 
 def extract_stream(spark: SparkSession, root: str, refs: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Writes citations of arriving pages to ``out``/batch=N. A talk is one file, so its fold sees all its footnotes."""
+    """Keeps ``out`` (a stage table of citations) in step with arriving pages. A talk is one file, so its fold sees all its footnotes."""
 
     def write(batch: DataFrame, number: int) -> None:
         parsed = pages.parse_pages(refs, batch)
-        fold.extract(pages.footnotes(parsed)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        at = parsed.select(F.col("uri").alias("talk_id"), *pipeline.PARTS)
+        found = fold.extract(pages.footnotes(parsed)).withColumnRenamed("year", "cited_year").join(at, "talk_id")
+        pipeline.save(found, out, at, "talk_id")
 
     writer = pages_stream(spark, root).writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
