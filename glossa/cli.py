@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import argparse
-import json
+import importlib
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from .operators import rollups as R
 from .operators import scope
 from .plans import export, pipeline
 from .sources import archive
+from .sources import crawl as crawling
 
 
 def _refs(spark: SparkSession, a: argparse.Namespace):
@@ -28,15 +28,9 @@ def list_(spark, a):
 
 
 def crawl(spark, a):
-    """Fetches what is in scope and not cached; writes one text file per talk."""
-    from .sources.http import LibrarySource
-
-    spark.dataSource.register(LibrarySource)
-    refs = _refs(spark, a)
-    todo = refs if a.refresh else archive.missing(refs, archive.contents(spark, a.root))
-    uris = [r["uri"] for r in todo.select("uri").toLocalIterator()]  # a work list of addresses, at most the scope
-    found = spark.read.format("library").option("base", a.base).option("uris", json.dumps(uris)).option("workers", str(a.workers)).load()
-    found.write.mode("append").parquet(f"{a.out}/fetched")
+    """Fetches tables of contents and talks in scope that are not cached, into the archive."""
+    count, failed = crawling.crawl(spark, a.root, a.base, a.selector, a.refresh, a.workers, **_filters(a))
+    print(f"fetched {count} talks, {len(failed)} failed", *failed, sep="\n")
 
 
 def parse(spark, a):
@@ -44,11 +38,24 @@ def parse(spark, a):
 
 
 def extract(spark, a):
-    pipeline.extract(spark, a.out, a.selector)
+    pipeline.extract(spark, a.out, a.selector, **_filters(a))
+
+
+def _reader(a: argparse.Namespace):
+    """The second reading that --llm MODULE:FUNCTION names."""
+    if not a.llm:
+        return None
+    module, _, name = a.llm.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def _refined(spark, a):
+    reader = _reader(a)
+    return pipeline.refined(spark, a.out, reader) if reader else None
 
 
 def resolve(spark, a):
-    pipeline.resolved(spark, a.out, a.overrides)
+    pipeline.resolved(spark, a.out, a.overrides, _refined(spark, a))
 
 
 def aggregate(spark, a):
@@ -57,15 +64,16 @@ def aggregate(spark, a):
 
 
 def run(spark, a):
-    pipeline.run(spark, a.root, a.out, a.selector, a.overrides, **_filters(a))
+    if a.base:
+        crawl(spark, a)
+    pipeline.run(spark, a.root, a.out, a.selector, a.overrides, _reader(a), **_filters(a))
 
 
 def status(spark, a):
-    talks, citations = spark.read.parquet(f"{a.out}/talks").withColumn("talk_id", F.col("uri")), spark.read.parquet(f"{a.out}/citations")
-    done = citations.select("talk_id").distinct().withColumn("extracted_at", F.lit(1))
-    talks = talks.withColumn("parsed_at", F.lit(1)).join(done, "talk_id", "left")
-    R.status(archive.tables_of_contents(spark, a.root).select("year", "month"), talks, citations.drop("year", "month")).show(1000)
-    R.tiers(citations.drop("year", "month"), talks).show()
+    citations = spark.read.parquet(f"{a.out}/citations").drop("year", "month")
+    talks = pipeline.dated_talks(spark, a.out)
+    R.status(archive.tables_of_contents(spark, a.root).select("year", "month"), talks, citations).show(1000)
+    R.tiers(citations, talks).show()
 
 
 def sample(spark, a):
@@ -85,7 +93,8 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--root", default="raw", help="the cached archive")
         p.add_argument("--out", default="out", help="stage tables and site")
         p.add_argument("--overrides", help="YAML file of curated names and titles")
-        p.add_argument("--base", default="", help="address that talk addresses are appended to")
+        p.add_argument("--base", default="", help="address of the archive's service, up to the kind of page; run crawls only where it is given")
+        p.add_argument("--llm", help="MODULE:FUNCTION that reads unsure citations a second time (resolve, run)")
         p.add_argument("--workers", type=int, default=4)
         p.add_argument("--refresh", action="store_true")
         p.add_argument("-n", type=int, default=30)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import non_blank
 from ..operators.rollups import counted
+from ..sources import archive
 
 NULLS = {"ignoreNullFields": "false"}
 
@@ -34,10 +35,13 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def write_site(summaries: dict[str, DataFrame], citations: DataFrame, path: str) -> None:
-    """``citations`` and one folder per summary."""
+    """``citations``, one folder per summary, and ``generated``; what a site held before goes."""
+    spark = citations.sparkSession
+    archive.delete(spark, path)
     write_json(compact(citations), f"{path}/citations")
     for name, rows in summaries.items():
         write_json(rows, f"{path}/index/{name}")
+    write_json(spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at")), f"{path}/index/generated")
 
 
 def labelled(rows: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:

@@ -48,6 +48,45 @@ def missing(refs: DataFrame, cached: DataFrame) -> DataFrame:
     return refs.join(cached.select("uri"), "uri", "left_anti")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _at(spark, path)
+    return system.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, where = _at(spark, path)
+    system.delete(where, True)
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def publish(bodies: DataFrame, root: str) -> int:
+    """Files of (conference, name, body) at ``<root>/<conference>/<name>.json``, replacing those that are there.
+
+    Executors write the bodies beside the archive; then each file is renamed to its place, so a reader
+    never meets half a file. Returns how many there are.
+    """
+    spark, aside = bodies.sparkSession, f"{root.rstrip('/')}/.incoming"
+    delete(spark, aside)
+    bodies.select("conference", "name", F.col("body").alias("value")).write.partitionBy("conference", "name").text(aside)
+    system, where = _at(spark, aside)
+    unquoted = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    count, Path = 0, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for part in system.globStatus(Path(f"{aside}/conference=*/name=*/part-*")) or []:
+        at = part.getPath()
+        name, conference = (unquoted(x.getName().partition("=")[2]) for x in (at.getParent(), at.getParent().getParent()))
+        to = Path(f"{root.rstrip('/')}/{conference}/{name}.json")
+        system.mkdirs(to.getParent())
+        system.delete(to, False)
+        system.rename(at, to)
+        count += 1
+    system.delete(where, True)
+    return count
+
+
 def overrides(spark: SparkSession, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Curated authors and works from a YAML file; none where no path is given."""
     data: dict = {}
@@ -57,6 +96,6 @@ def overrides(spark: SparkSession, path: str | None = None) -> tuple[DataFrame,
         text = spark.read.text(path, wholetext=True).first()
         data = (yaml.safe_load(text[0]) if text else None) or {}
     row = lambda x, *names: tuple(x.get(n) for n in names)
-    authors = [(*row(a, "canonical", "kind"), list(a.get("aliases") or [])) for a in data.get("authors") or []]
-    works = [(*row(w, "canonical", "author", "type"), list(w.get("aliases") or [])) for w in data.get("works") or []]
+    authors = [(i, *row(a, "canonical", "kind"), list(a.get("aliases") or [])) for i, a in enumerate(data.get("authors") or [])]
+    works = [(i, *row(w, "canonical", "author", "type"), list(w.get("aliases") or [])) for i, w in enumerate(data.get("works") or [])]
     return spark.createDataFrame(authors, schema.OVERRIDE_AUTHORS), spark.createDataFrame(works, schema.OVERRIDE_WORKS)

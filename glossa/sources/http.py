@@ -1,18 +1,17 @@
-"""Fetching into the archive, as a Spark data source with one partition per worker.
+"""Fetching into the archive: addresses are rows, dealt to workers.
 
-``spark.read.format("library").option("uris", json).load()`` gives (uri, status, body): 200 with the
-body, 404, or 0 with the last error. Missing items are not retried; other failures back off.
+Missing items are not retried; other failures back off.
 """
 
 from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterator
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 
 ATTEMPTS, TIMEOUT, PAUSE = 3, 30, 1.5
 
@@ -42,35 +41,21 @@ def fetch(url: str, open_=urlopen, sleep=time.sleep) -> str:
     raise RuntimeError(f"failed to fetch {url}: {last}")
 
 
-class _Some(InputPartition):
-    def __init__(self, uris: list[str]):
-        self.uris = uris
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.base, self.uris, self.workers = options.get("base", ""), json.loads(options.get("uris", "[]")), int(options.get("workers", "4"))
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Some(self.uris[i :: self.workers]) for i in range(min(self.workers, max(1, len(self.uris))))]
-
-    def read(self, partition: _Some) -> Iterator[tuple]:
-        for uri in partition.uris:
-            try:
-                yield uri, 200, fetch(self.base + uri)
-            except Missing:
-                yield uri, 404, None
-            except RuntimeError as e:  # one item's failure is reported, not fatal
-                yield uri, 0, str(e)
-
-
-class LibrarySource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "library"
-
-    def schema(self) -> str:
-        return "uri string, status int, body string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(dict(self.options))
+def fetched(addresses: DataFrame, url: Column, workers: int = 4, open_=urlopen, sleep=time.sleep) -> DataFrame:
+    """The rows with status and body: 200 with the body, 404, or 0 with the last error; one partition a worker."""
+
+    def run(batches):
+        for batch in batches:
+            for i, address in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                try:
+                    status, body = 200, fetch(address, open_, sleep)
+                except Missing:
+                    status, body = 404, None
+                except RuntimeError as e:  # one item's failure is reported, not fatal
+                    status, body = 0, str(e)
+                own = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], pa.array([status], pa.int32()), pa.array([body], pa.string())], names=names)
+
+    names = [*addresses.columns, "status", "body"]
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in addresses.dtypes), "status int, body string"])
+    return addresses.withColumn("_url", url).repartition(workers).mapInArrow(run, schema)
