@@ -47,10 +47,15 @@ def first_last_merges(keys: DataFrame) -> DataFrame:
     return groups.filter((F.col("fulls") == 1) & F.col("key").isNotNull() & ~F.col("pair").isin(*L.AMBIGUOUS)).select("key", "into")
 
 
+def entry_order(curated: DataFrame) -> Column:
+    """The place of a curated entry in its list; entries without one are equal."""
+    return F.col("ord") if "ord" in curated.columns else F.lit(0)
+
+
 def alias_keys(authors: DataFrame) -> DataFrame:
-    """(key, canonical) of curated authors and their aliases; the later entry of a key wins."""
-    rows = authors.select("canonical", F.posexplode(F.concat(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("i", "alias"))
-    return rows.select(name_key(F.col("alias")).alias("key"), "canonical").groupBy("key").agg(F.max("canonical").alias("canonical"))
+    """(key, canonical) of curated authors and their aliases; the later entry of a key wins, and among equals the last in order."""
+    rows = authors.select("canonical", entry_order(authors).alias("ord"), F.posexplode(F.concat(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("i", "alias"))
+    return rows.select(name_key(F.col("alias")).alias("key"), F.struct("ord", "i", "canonical").alias("at")).groupBy("key").agg(F.max("at")["canonical"].alias("canonical"))
 
 
 def listed_canonical(key: Column, titled: Column) -> Column:
@@ -88,7 +93,7 @@ def authors(citations: DataFrame, speakers: DataFrame, curated: DataFrame) -> tu
     keyed = keyed_names(name_counts(citations, speakers), curated)
     spelled = keyed.groupBy("author").agg(F.min(F.struct((-F.col("n")).alias("n"), "name"))["name"].alias("common"), F.max("canonical").alias("canonical"))
     spoke = speakers.filter("speaker_name <> ''").select(name_key(F.col("speaker_name")).alias("author")).distinct().withColumn("spoke", F.lit(True))
-    given = curated.select(name_key(F.col("canonical")).alias("author"), F.col("kind").alias("given")).groupBy("author").agg(F.max("given").alias("given"))
+    given = curated.select(name_key(F.col("canonical")).alias("author"), F.struct(entry_order(curated).alias("ord"), "kind").alias("given")).groupBy("author").agg(F.max("given")["kind"].alias("given"))
     out = spelled.join(spoke, "author", "left").join(given, "author", "left")
     out = out.select("author", F.coalesce("canonical", "common").alias("canonical_name"), F.coalesce("given", kinds(F.col("author"), F.coalesce("spoke", F.lit(False)))).alias("kind"))
     extra = curated.select(F.explode("aliases").alias("alias"), name_key(F.col("canonical")).alias("author")).join(out.select("author"), "author", "left_semi").select("alias", "author", F.lit(1).alias("rank"))
@@ -115,10 +120,10 @@ def with_author_ids(citations: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def curated_titles(works: DataFrame) -> DataFrame:
-    """(title_key, given, given_type, given_author) of curated works and their aliases."""
-    rows = works.select("canonical", "type", "author", F.explode(F.concat(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias"))
-    rows = rows.withColumn("key", title_key(F.col("alias")))
-    return rows.groupBy("key").agg(F.max(F.struct("canonical", "type", "author")).alias("g")).select(F.col("key").alias("title_key"), F.col("g.canonical").alias("given"), F.col("g.type").alias("given_type"), F.col("g.author").alias("given_author"))
+    """(title_key, given, given_type, given_author) of curated works and their aliases; the later entry of a key wins."""
+    rows = works.select("canonical", "type", "author", entry_order(works).alias("ord"), F.posexplode(F.concat(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("i", "alias"))
+    rows = rows.withColumn("title_key", title_key(F.col("alias"))).groupBy("title_key").agg(F.max(F.struct("ord", "i", "canonical", "type", "author")).alias("g"))
+    return rows.select("title_key", F.col("g.canonical").alias("given"), F.col("g.type").alias("given_type"), F.col("g.author").alias("given_author"))
 
 
 def work_keys(citations: DataFrame, works: DataFrame) -> DataFrame:

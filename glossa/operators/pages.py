@@ -6,12 +6,14 @@ import re
 from dataclasses import dataclass, field
 from html import escape
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..functions.spread import widened
 from .fold import plain
 
 BLOCKS = ("p", "h1", "h2", "h3", "li")
@@ -124,23 +126,23 @@ class Body(HTMLParser):
         return [b for b in self.blocks if not chrome(b) and not b.in_footer and not (b.tag == "li" and b.holds_p)]
 
 
+NOTE_MARK = re.compile(r'(<a class="note-ref" href="#(?:note\d+)">.*?</a>|<[^>]+>)')
+
+
 def note_offsets(p_html: str) -> list[tuple[str, int]]:
     """(note id, plain characters before its marker); a marker's own text does not count."""
-    out, at = [], 0
-    for m in re.finditer(r'<a class="note-ref" href="#(note\d+)">.*?</a>|<[^>]+>|[^<]+', p_html):
-        if m.group(1):
-            out.append((m.group(1), at))
-        elif not m.group(0).startswith("<"):
-            at += len(plain(m.group(0))) + m.group(0).endswith(" ")
-    return out
+    parts = NOTE_MARK.split(p_html)  # text and markup take turns
+    lengths = [len(plain(t)) + t.endswith(" ") for t in parts[0::2]]
+    marks = (re.match(r'<a class="note-ref" href="#(note\d+)">', m) for m in parts[1::2])
+    return [(m.group(1), at) for m, at in zip(marks, accumulate(lengths), strict=False) if m]
 
 
 def inline_groups(p_html: str) -> list[tuple[str, str]]:
     """(HTML, context before) of citation-like parentheses, then of scripture links outside them."""
-    groups = [m for m in re.finditer(r"\(([^()]{3,}?)\)", p_html) if SIGNAL.search(m.group(1))]
-    links = [m for m in re.finditer(r'<a class="scripture-ref"[^>]*>.*?</a>', p_html) if not any(g.start() <= m.start() < g.end() for g in groups)]
-    before = lambda m: plain(p_html[: m.start()])[-WIDTH:]
-    return [(m.group(1), before(m)) for m in groups] + [(m.group(0), before(m)) for m in links]
+    groups = {m.span(): m.group(1) for m in re.finditer(r"\(([^()]{3,}?)\)", p_html) if SIGNAL.search(m.group(1))}
+    links = {m.span(): m.group() for m in re.finditer(r'<a class="scripture-ref"[^>]*>.*?</a>', p_html)}
+    outside = {span: text for span, text in links.items() if not any(a <= span[0] < b for a, b in groups)}
+    return [(text, plain(p_html[:start])[-WIDTH:]) for (start, _), text in (*groups.items(), *outside.items())]
 
 
 def read_page(source: str, notes: list[tuple[str, dict]]) -> dict:
@@ -196,13 +198,14 @@ def published(structured: Column) -> Column:
 
 def parse_pages(refs: DataFrame, contents: DataFrame) -> DataFrame:
     """References joined with their contents (uri, meta, content): one row per talk, with its parts nested."""
-    rows = refs.join(contents, "uri")
+    rows = widened(refs.join(contents, "uri"))
     notes = F.map_entries(F.coalesce("content.footnotes", F.expr("map()").cast("map<string,struct<text:string,pid:string,context:string>>")))
     rows = rows.withColumn("page", page_udf()(F.coalesce("content.body", F.lit("")), notes))
     name = F.coalesce(F.nullif("speaker", F.lit("")), F.nullif("page.speaker_name", F.lit("")), F.lit(""))
     return rows.select(
         *[c for c in refs.columns if c not in ("title", "speaker")], F.coalesce(F.nullif("meta.title", F.lit("")), "title").alias("title"), name.alias("speaker_name"),
         F.col("page.speaker_role").alias("speaker_role"), published(F.col("meta.structuredData")).alias("date"), F.col("page.paragraphs").alias("paragraphs"), F.col("page.footnotes").alias("footnotes"),
+        F.current_timestamp().alias("parsed_at"),
     )
 
 

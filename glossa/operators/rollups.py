@@ -67,11 +67,23 @@ def speaker_leaderboard(talks: DataFrame) -> DataFrame:
     return rows.groupBy("speaker_id").agg(F.count("*").alias("talks")).orderBy(F.desc("talks"), "speaker_id")
 
 
+def speaker_summary(talks: DataFrame, names: DataFrame) -> DataFrame:
+    """Speakers that are known, with their name; names: (person_id, name)."""
+    return speaker_leaderboard(talks).join(names.select(F.col("person_id").alias("speaker_id"), "name"), "speaker_id").orderBy(F.desc("talks"), "name", "speaker_id")
+
+
 def work_leaderboard(citations: DataFrame, talks: DataFrame) -> DataFrame:
     rows = in_talks(citations.filter(counted()), talks).filter("work_id is not null")
     return rows.groupBy("work_id").agg(F.count("*").alias("total"), F.countDistinct("talk_id").alias("talks")).orderBy(F.desc("total"), "work_id")
 
 
+def work_summary(citations: DataFrame, talks: DataFrame, works: DataFrame, names: DataFrame) -> DataFrame:
+    """Totals and decades of each work with its title, type, author and the author's name; works: (work_id, title, work_type, author_id, ...)."""
+    rows = in_talks(citations.filter(counted()), talks).filter("work_id is not null")
+    found = work_leaderboard(citations, talks).join(histogram(rows, ["work_id"], decade(F.col("year"))), "work_id").join(works, "work_id", "left")
+    return found.join(names.select(F.col("person_id").alias("author_id"), F.col("name").alias("author")), "author_id", "left").orderBy(F.desc("total"), "title", "work_id")
+
+
 def containers(citations: DataFrame, talks: DataFrame, works: DataFrame) -> DataFrame:
     """The containers that counted citations name, with titles."""
     ids = in_talks(citations.filter(counted()), talks).filter("container_id is not null").select(F.col("container_id").alias("work_id")).distinct()
@@ -88,6 +100,11 @@ def scripture_rollup(citations: DataFrame, talks: DataFrame) -> DataFrame:
     return rows.withColumn("volume", volume_of(F.col("book"))).orderBy(F.desc("total"), "book")
 
 
+def scripture_summary(citations: DataFrame, talks: DataFrame) -> DataFrame:
+    """Books with their decades."""
+    return scripture_rollup(citations, talks).join(histogram(scripture(citations, talks), ["book"], decade(F.col("year"))), "book").orderBy(F.desc("total"), "book")
+
+
 def top_chapters(citations: DataFrame, talks: DataFrame, k: int = 10) -> DataFrame:
     rows = scripture(citations, talks).filter("chapter <> 0").withColumn("label", F.concat("book", F.lit(" "), F.col("chapter").cast("string")))
     return ranked(rows.groupBy("book", "label").agg(F.count("*").alias("n")), ["book"], [F.desc("n"), F.col("label")], k)
@@ -107,15 +124,18 @@ def scripture_lists(citations: DataFrame, talks: DataFrame, order: list[str]) ->
     return rows.select("talk_id", F.col("_l.label").alias("scriptures"))
 
 
-def talk_index(citations: DataFrame, talks: DataFrame, order: list[str]) -> DataFrame:
-    """One row per talk: conference, session, counted citations and scripture references, in reading order."""
+def talk_index(citations: DataFrame, talks: DataFrame, order: list[str], about: tuple[str, ...] = ()) -> DataFrame:
+    """One row per talk: conference, session, counted citations and scripture references, in reading order.
+
+    ``about``: further columns of talks (address, title, speaker's name and role).
+    """
     n = citations.filter(counted()).groupBy("talk_id").agg(F.count("*").alias("counted"))
     rows = talks.filter("is_talk").join(n, "talk_id", "left").join(scripture_lists(citations, talks, order), "talk_id", "left")
     rows = rows.withColumns({
         "conference": conference(), "counted": F.coalesce("counted", F.lit(0)), "session": F.coalesce("session", F.lit("")),
         "session_ord": F.coalesce("session_ord", F.lit(0)), "ord": F.coalesce("ord", F.lit(0)), "scriptures": F.coalesce("scriptures", F.array().cast("array<string>")),
     })
-    return rows.select("talk_id", "conference", "year", "speaker_id", "session", "session_ord", "ord", "counted", "scriptures").orderBy("conference", "session_ord", "ord", "talk_id")
+    return rows.select("talk_id", "conference", "year", "speaker_id", "session", "session_ord", "ord", "counted", "scriptures", *about).orderBy("conference", "session_ord", "ord", "talk_id")
 
 
 def conference() -> Column:
@@ -133,6 +153,17 @@ def conference_rollup(citations: DataFrame, talks: DataFrame, persons: DataFrame
     return heads.join(n, "conference", "left").fillna(zero).orderBy("conference")
 
 
+def conference_title(year: str = "year", month: str = "month") -> Column:
+    return F.concat(F.when(F.col(month) == 4, "April ").otherwise("October "), F.col(year).cast("string"), F.lit(" general conference"))
+
+
+def conference_summary(citations: DataFrame, talks: DataFrame, persons: DataFrame) -> DataFrame:
+    """The rollup with year, month, title, and how many talks are parsed and extracted."""
+    heads = talks.filter("is_talk").groupBy("year", "month").agg(F.count("parsed_at").alias("talks_parsed"), F.count("extracted_at").alias("talks_extracted"))
+    heads = heads.withColumns({"conference": conference(), "title": conference_title()})
+    return conference_rollup(citations, talks, persons).join(heads, "conference").orderBy("conference")
+
+
 def conference_top_persons(citations: DataFrame, talks: DataFrame, k: int = 6) -> DataFrame:
     rows = in_talks(citations.filter(counted()), talks).filter("person_id is not null")
     n = rows.groupBy(conference().alias("conference"), "person_id").agg(F.count("*").alias("n"))

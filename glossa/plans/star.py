@@ -24,6 +24,8 @@ def talks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("talk_id"), F.year("o_orderdate").alias("year"), month.alias("month"), F.col("o_orderpriority").alias("session"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("session_ord"), day.alias("ord"), F.col("o_custkey").alias("speaker_id"), (F.col("o_orderstatus") != "P").alias("is_talk"),
+        F.concat(F.lit("/t/"), F.col("o_orderkey").cast("string")).alias("uri"), F.concat(F.lit("Talk "), F.col("o_orderkey").cast("string")).alias("title"),
+        F.concat(F.lit("Speaker "), F.col("o_custkey").cast("string")).alias("speaker_name"), F.when(F.col("o_custkey") % 3 == 0, "Of the council").alias("speaker_role"),
         F.when(F.col("o_totalprice") > 50_000, at).alias("parsed_at"), F.when(F.col("o_totalprice") > 150_000, at).alias("extracted_at"),
     )
 
@@ -50,7 +52,8 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("title"))
+    author = F.when(F.col("p_partkey") % 5 > 0, F.col("p_partkey") % 200)
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("title"), F.col("p_type").alias("work_type"), author.alias("author_id"))
 
 
 def conferences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +64,8 @@ def conferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 talks AS (SELECT o_orderkey AS talk_id, CAST(year(o_orderdate) AS INT) AS year, CASE WHEN month(o_orderdate) <= 6 THEN 4 ELSE 10 END AS month, o_orderpriority AS session,
-  CAST(substr(o_orderpriority, 1, 1) AS INT) AS session_ord, CAST(day(o_orderdate) AS INT) AS ord, o_custkey AS speaker_id, o_orderstatus <> 'P' AS is_talk,
+  CAST(substr(o_orderpriority, 1, 1) AS INT) AS session_ord, CAST(day(o_orderdate) AS INT) AS ord, o_custkey AS speaker_id, o_orderstatus <> 'P' AS is_talk, '/t/' || o_orderkey AS uri, 'Talk ' || o_orderkey AS title, 'Speaker ' || o_custkey AS speaker_name,
+  CASE WHEN o_custkey % 3 = 0 THEN 'Of the council' END AS speaker_role,
   CASE WHEN o_totalprice > 50000 THEN 1 END AS parsed_at, CASE WHEN o_totalprice > 150000 THEN 1 END AS extracted_at FROM orders),
 raw AS (SELECT *, CAST(l_quantity AS INT) AS q, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'note' WHEN l_returnflag = 'R' THEN 'crossref' WHEN l_returnflag = 'N' THEN 'scripture' ELSE 'freetext' END AS tier FROM lineitem),
 citations AS (SELECT l_orderkey AS talk_id, l_linenumber AS position, l_suppkey AS person_id, l_partkey AS work_id, tier, CASE q % 3 WHEN 0 THEN 'see' WHEN 1 THEN 'quoted' ELSE 'secondary' END AS relation,
@@ -69,7 +73,7 @@ citations AS (SELECT l_orderkey AS talk_id, l_linenumber AS position, l_suppkey
   CASE WHEN tier = 'scripture' THEN l_partkey % 40 END AS chapter, CASE WHEN tier = 'scripture' THEN l_suppkey % 30 END AS verse_start, CASE WHEN tier = 'scripture' THEN l_suppkey % 30 + q % 4 END AS verse_end,
   l_partkey % 25 AS container_id, CASE WHEN tier = 'crossref' THEN l_orderkey + l_partkey % 7 - 3 END AS cited_talk, l_discount * 10 AS confidence, q AS quantity FROM raw),
 persons AS (SELECT s_suppkey AS person_id, s_name AS name, CASE WHEN s_nationkey < 12 THEN 'external' WHEN s_nationkey < 20 THEN 'church_leader' ELSE 'scripture_figure' END AS kind FROM supplier),
-works AS (SELECT p_partkey AS work_id, p_name AS title FROM part),
+works AS (SELECT p_partkey AS work_id, p_name AS title, p_type AS work_type, CASE WHEN p_partkey % 5 > 0 THEN p_partkey % 200 END AS author_id FROM part),
 conferences AS (SELECT DISTINCT year, month FROM talks UNION ALL SELECT 1990, 4),
 c AS (SELECT citations.*, year, month, year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS conference, CAST(year // 10 * 10 AS VARCHAR) || 's' AS decade FROM citations JOIN talks USING (talk_id) WHERE is_talk),
 counted AS (SELECT * FROM c WHERE tier NOT IN ('scripture', 'note')),
