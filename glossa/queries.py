@@ -167,3 +167,50 @@ def low_confidence(spark, sf_dir):
     c, t = CT(spark, sf_dir)
     rows = c.filter(F.col("tier").isin("freetext", "note") & (F.col("confidence") < 0.6))
     return rows.join(t.filter("year = 1997").select("talk_id"), "talk_id", "left_semi").select("talk_id", "position", "person_id", "work_id", "quantity")
+
+
+# ---- summaries with all their fields
+
+
+@query("speaker_summary", "SELECT speaker_id, talks, name FROM (SELECT speaker_id, count(*) AS talks FROM talks WHERE is_talk GROUP BY 1) JOIN persons ON person_id = speaker_id")
+def speaker_summary(spark, sf_dir):
+    _, t, p = CTP(spark, sf_dir)
+    return R.speaker_summary(t, p)
+
+
+_HIST = "SELECT {key}, string_agg(decade || '=' || n, ';' ORDER BY decade) AS by_decade FROM (SELECT {key}, decade, count(*) AS n FROM {rows} GROUP BY ALL) GROUP BY 1"
+
+
+@query(
+    "work_summary",
+    f""", h AS ({_HIST.format(key="work_id", rows="counted")}), n AS (SELECT work_id, count(*) AS total, count(DISTINCT talk_id) AS talks FROM counted GROUP BY 1)
+SELECT work_id, total, talks, by_decade, title, work_type, author_id, name AS author FROM n JOIN h USING (work_id) LEFT JOIN works USING (work_id) LEFT JOIN persons ON person_id = author_id""",
+)
+def work_summary(spark, sf_dir):
+    c, t, p = CTP(spark, sf_dir)
+    return R.work_summary(c, t, star.works(spark, sf_dir), p).withColumn("by_decade", entries("by_decade"))
+
+
+@query("scripture_summary", f", h AS ({_HIST.format(key='book', rows='scr')}), n AS (SELECT book, count(*) AS total, count(DISTINCT talk_id) AS talks FROM scr GROUP BY 1) SELECT book, total, talks, by_decade FROM n JOIN h USING (book)")
+def scripture_summary(spark, sf_dir):
+    return R.scripture_summary(*CT(spark, sf_dir)).withColumn("by_decade", entries("by_decade")).drop("volume")
+
+
+@query("talk_summary", SQL["talk_index"].replace(f"WITH {star.SQL}", "").replace("AS scriptures\nFROM talks", "AS scriptures, uri, title, speaker_name, speaker_role\nFROM talks"))
+def talk_summary(spark, sf_dir):
+    return R.talk_index(*CT(spark, sf_dir), ORDER, ("uri", "title", "speaker_name", "speaker_role")).withColumn("scriptures", F.array_join("scriptures", "; "))
+
+
+@query(
+    "conference_summary",
+    SQL["conference_rollup"].replace(f"WITH {star.SQL}", "").replace("SELECT conference, talks,", ", v AS (SELECT year, month, year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS conference, count(parsed_at) AS talks_parsed, count(extracted_at) AS talks_extracted, CASE month WHEN 4 THEN 'April ' ELSE 'October ' END || year || ' general conference' AS title FROM talks WHERE is_talk GROUP BY 1, 2)\nSELECT year, month, title, talks_parsed, talks_extracted, conference, talks,").replace("LEFT JOIN n USING (conference)", "LEFT JOIN n USING (conference) JOIN v USING (conference)"),
+)
+def conference_summary(spark, sf_dir):
+    return R.conference_summary(*CTP(spark, sf_dir))
+
+
+@query("review_sample", "SELECT tier, least(25, count(*)) AS n, max(confidence) < 0.6 AS unsure FROM citations WHERE tier = 'freetext' AND confidence < 0.6 GROUP BY 1")
+def review_sample(spark, sf_dir):
+    """A random sample has no fixed rows: its tier, size and bound are compared."""
+    found = R.sample(star.citations(spark, sf_dir), 25, "freetext", low=True, seed=1)
+    return found.groupBy("tier").agg(F.count("*").alias("n"), (F.max("confidence") < 0.6).alias("unsure"))

@@ -6,12 +6,11 @@ where an operator parses text, the SQL states the fields that the text was made
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions import hrefs, text
-from .operators import entities, fold, pages, refine, scope
+from .operators import entities, pages, refine, scope
 from .plans import export, star
 from .queries import query
 
@@ -83,18 +82,6 @@ def plain_text(spark, sf_dir):
     return star.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), text.plain(html).alias("plain"))
 
 
-@query("plain_text_entities")
-def plain_text_entities(spark, sf_dir):
-    return star.table(spark, sf_dir, "pages").select("page_id", text.plain(F.col("html")).alias("plain"))
-
-
-@query("page_paragraphs")
-def page_paragraphs(spark, sf_dir):
-    none = F.expr("array()").cast("array<struct<key:string,value:struct<text:string,pid:string,context:string>>>")
-    rows = star.table(spark, sf_dir, "pages").select("page_id", pages.page_udf()("html", none).alias("b"))
-    return rows.select("page_id", F.inline("b.paragraphs"))
-
-
 @query("scope_select", "SELECT talk_id, year, month FROM talks WHERE year BETWEEN 1996 AND 1998 AND contains(lower(replace(session, '-', ' ')), '2 high') AND is_talk")
 def scope_select(spark, sf_dir):
     refs = star.talks(spark, sf_dir).withColumns({"title": F.lit("A Talk"), "speaker": F.when(F.col("is_talk"), "S").otherwise(" "), "session": F.replace("session", F.lit("-"), F.lit(" ")), "slug": F.lit("x")})
@@ -256,76 +243,61 @@ def container_resolve(spark, sf_dir):
     return entities.containers(entities.work_keys(titled(spark, sf_dir), curated_works(spark)))[0]
 
 
-# ---- grammar and fold
-
+_NUMBERED = (None, "12", "3–4", "Rise to Your Call", "A 1990")
 
-def shaped(k: Column) -> Column:
-    """A footnote of one of four shapes, by key."""
-    person, book, page, year = pick(PEOPLE, k), pick(BOOKS, F.floor(k / 3)), (k % 300 + 1).cast("string"), (k % 60 + 1950).cast("string")
-    article, home = pick(ARTICLES, F.floor(k / 5)), pick(PERIODICALS, F.floor(k / 2))
-    shape = k % 4
-    lit = F.lit
-    return (
-        F.when(shape == 0, F.concat(person, lit(", "), book, lit(" ("), year, lit("), "), page, lit(".")))
-        .when(shape == 1, F.concat(lit("See "), person, lit(", “"), article, lit(",” "), home, lit(", May "), year, lit(", "), page, lit(".")))
-        .when(shape == 2, F.concat(lit("Mahatma Gandhi, in "), person, lit(", comp., "), book, lit(" ("), year, lit("), "), page, lit(".")))
-        .otherwise(F.concat(lit("“"), article, lit(",” Hymns, no. "), page))
-    )
-
-
-_P, _B, _A, _H = sql_pick(PEOPLE, "k"), sql_pick(BOOKS, "k // 3"), sql_pick(ARTICLES, "k // 5"), sql_pick(PERIODICALS, "k // 2")
-_SHAPES = f"""SELECT k, CASE k % 4 WHEN 3 THEN NULL ELSE {_P} END AS author, CASE k % 4 WHEN 0 THEN {_P} WHEN 1 THEN {_P} WHEN 2 THEN 'Mahatma Gandhi' END AS person_quoted,
-CASE WHEN k % 4 IN (0, 2) THEN {_B} ELSE {_A} END AS work_title, CASE k % 4 WHEN 1 THEN 'article' WHEN 3 THEN 'hymn' ELSE 'book' END AS work_type, CASE k % 4 WHEN 1 THEN {_H} WHEN 3 THEN 'Hymns' END AS container_title,
-CASE WHEN k % 4 < 3 THEN CAST(k % 60 + 1950 AS INT) END AS year, CASE k % 4 WHEN 3 THEN 'no. ' ELSE '' END || (k % 300 + 1) AS locator, CASE k % 4 WHEN 1 THEN 'see' WHEN 2 THEN 'secondary' ELSE 'quoted' END AS relation FROM (SELECT o_orderkey AS k FROM orders)"""
 
-
-@query("grammar_roundtrip", _SHAPES, over_star=False)
-def grammar_roundtrip(spark, sf_dir):
-    rows = orders(spark, sf_dir).select("k", fold.parse_udf()(shaped(F.col("k")), F.lit("")).alias("p"))
-    return rows.select("k", *[f"p.{c}" for c in ("author", "person_quoted", "work_title", "work_type", "container_title", "year", "locator", "relation")])
+@query(
+    "crossref_titles",
+    f"""SELECT c.talk_id, c.position, c.person_id, c.work_id, c.quantity, CASE WHEN t.talk_id IS NOT NULL AND coalesce(regexp_matches(w, '[0-9]') AND len(w) < 6, true) THEN t.title ELSE w END AS work_title
+FROM (SELECT *, {sql_pick(_NUMBERED, 'work_id')} AS w FROM citations WHERE tier = 'crossref') AS c LEFT JOIN talks t ON t.talk_id = c.cited_talk""",
+)
+def crossref_titles(spark, sf_dir):
+    """A cross-reference without a title, or with a bare number for one, takes its talk's."""
+    null = F.lit(None).cast("string")
+    rows = star.citations(spark, sf_dir).filter("tier = 'crossref'").withColumns({"cited_talk_uri": F.concat(F.lit("/t/"), F.col("cited_talk").cast("string")), "work_title": pick(_NUMBERED, F.col("work_id")), "person_quoted": null, "author_name": null})
+    return entities.filled(rows, star.talks(spark, sf_dir)).select("talk_id", "position", "person_id", "work_id", "quantity", "work_title")
 
 
-def talk_notes(spark, sf_dir) -> DataFrame:
-    """Per order a talk of four footnotes: a full citation, a short form of it, 'Ibid.', and a scripture link."""
-    k = F.col("k")
-    person, book, page = pick(PEOPLE, k), pick(BOOKS, F.floor(k / 3)), (k % 300 + 1).cast("string")
-    last = F.element_at(F.split(person, " "), -1)
-    verse = (k % 20 + 1).cast("string")
-    link = F.concat(F.lit('See <a class="scripture-ref" href="/study/scriptures/bofm/alma/32?lang=eng&amp;id=p'), verse, F.lit("#p"), verse, F.lit('">Alma 32:'), verse, F.lit("</a>."))
-    notes = F.array(F.concat(person, F.lit(", "), book, F.lit(" (1952), "), page, F.lit(".")), F.concat(last, F.lit(", "), book, F.lit(", 9.")), F.lit("Ibid., 180."), link)
-    rows = orders(spark, sf_dir).select(F.col("k").alias("talk_id"), F.posexplode(notes).alias("ord", "raw"))
-    return rows.select("talk_id", F.concat(F.lit("note"), (F.col("ord") + 1).cast("string")).alias("marker"), F.lit(False).alias("inline"), "ord", F.concat(F.lit("<p>"), "raw", F.lit("</p>")).alias("raw_html"), F.lit("").alias("context"))
+_POEMS = "SELECT talk_id, position, work_id, quantity, 'poems ' || work_id % 30 AS key, CASE WHEN quantity % 4 > 0 THEN CASE WHEN work_id % 2 = 0 THEN 'p' || work_id % 30 ELSE 'p' || quantity % 2 END END AS author FROM citations WHERE tier = 'freetext'"
 
 
 @query(
-    "talk_fold",
-    f"""SELECT k AS talk_id, 'note' || n AS marker, CASE n WHEN 4 THEN 'scripture' ELSE 'freetext' END AS tier, CASE WHEN n < 4 THEN {_P} END AS author_name, CASE n WHEN 4 THEN 'Alma' ELSE {_B} END AS work_title,
-CASE n WHEN 1 THEN CAST(k % 300 + 1 AS VARCHAR) WHEN 2 THEN '9' WHEN 3 THEN '180' END AS locator, CASE n WHEN 4 THEN 'see' ELSE 'quoted' END AS relation, CASE n WHEN 4 THEN CAST(k % 20 + 1 AS INT) END AS verse_start, CASE n WHEN 3 THEN 'ibid' WHEN 4 THEN 'href' ELSE 'rules' END AS parser
-FROM (SELECT o_orderkey AS k FROM orders), (SELECT unnest([1, 2, 3, 4]) AS n)""",
-    over_star=False,
+    "authorless_merge",
+    f""", p AS ({_POEMS}), one AS (SELECT key, min(author) AS sole FROM p WHERE author IS NOT NULL GROUP BY 1 HAVING count(DISTINCT author) = 1)
+SELECT talk_id, position, p.work_id AS part, quantity, 'a|' || key || '|' || coalesce(author, sole, '') AS work_id FROM p LEFT JOIN one USING (key)""",
 )
-def talk_fold(spark, sf_dir):
-    found = fold.extract(talk_notes(spark, sf_dir))
-    return found.select("talk_id", "marker", "tier", "author_name", "work_title", "locator", "relation", "verse_start", "parser")
-
-
-@query("segments", "SELECT k, 2 AS n, 'A. B. Smith, One, 1' AS first, 'Two, 2' AS last FROM (SELECT o_orderkey AS k FROM orders)", over_star=False)
-def segments(spark, sf_dir):
-    @F.pandas_udf("array<string>")
-    def cut(notes: pd.Series) -> pd.Series:
-        return notes.map(lambda n: [s for s, _ in fold.segments(fold.mark(n))])
-
-    note = F.when(F.col("k") % 2 == 0, "<p>A. B. Smith, One, 1; Two, 2; emphasis added.</p>").otherwise("A. B. Smith, One, 1; Two, 2; or Ensign, May 1980, 3")
-    return orders(spark, sf_dir).select("k", cut(note).alias("s")).select("k", F.size("s").alias("n"), F.element_at("s", 1).alias("first"), F.element_at("s", -1).alias("last"))
+def authorless_merge(spark, sf_dir):
+    """A short title without an author joins the one author under whom it is known, if there is only one."""
+    null, part, q = F.lit(None).cast("string"), F.col("work_id"), F.col("quantity")
+    author = F.when(q % 4 > 0, F.concat(F.lit("p"), F.when(part % 2 == 0, (part % 30).cast("string")).otherwise((q % 2).cast("string"))))
+    rows = star.citations(spark, sf_dir).filter("tier = 'freetext'").select(
+        "talk_id", "position", "tier", part.alias("part"), "quantity", F.concat(F.lit("Poems, "), (part % 30).cast("string")).alias("work_title"), F.lit("book").alias("work_type"), author.alias("author_id"),
+        *[null.alias(c) for c in ("person_id", "container_title", "cited_talk_uri", "scripture_book")],
+    )
+    return entities.work_keys(rows, curated_works(spark)).select("talk_id", "position", "part", "quantity", "work_id")
 
 
-@query("context_attribution", f"SELECT k, {sql_pick(PEOPLE, 'k')} AS person FROM (SELECT o_orderkey AS k FROM orders)", over_star=False)
-def context_attribution(spark, sf_dir):
-    from .operators import grammar
+_TYPES = ("book", None, "hymn", "poem", "manual")
 
-    @F.pandas_udf("string")
-    def who(context: pd.Series) -> pd.Series:
-        return context.map(grammar.attribution)
 
-    told = F.concat(F.lit("In those days Parley P. Pratt wrote a letter. Later, Elder "), pick(PEOPLE, F.col("k")), F.when(F.col("k") % 2 == 0, ", who knew him well, once said:").otherwise(" taught:"))
-    return orders(spark, sf_dir).select("k", who(told).alias("person"))
+@query(
+    "untyped_works",
+    f""", w AS (SELECT p_partkey AS work_id, {sql_pick(_TYPES, 'p_partkey')} AS work_type, CASE WHEN p_partkey % 7 = 0 THEN 'known' END AS author_id FROM part),
+q AS (SELECT work_id, person FROM (SELECT work_id, person, row_number() OVER (PARTITION BY work_id ORDER BY n DESC, person) AS r FROM (SELECT work_id, 'q' || person_id % 9 AS person, count(*) AS n FROM citations GROUP BY ALL)) WHERE r = 1)
+SELECT work_id, work_type, CASE WHEN author_id IS NULL AND work_type NOT IN ('scripture', 'periodical', 'hymn', 'manual', 'study_help') THEN person ELSE author_id END AS author_id FROM w LEFT JOIN q USING (work_id)""",
+)
+def untyped_works(spark, sf_dir):
+    """A work without a type takes no author from those who are quoted from it: NOT IN is unknown for null."""
+    key = F.col("p_partkey")
+    works = star.table(spark, sf_dir, "part").select(key.alias("work_id"), pick(_TYPES, key).alias("work_type"), F.when(key % 7 == 0, "known").alias("author_id"))
+    rows = star.citations(spark, sf_dir).select("work_id", F.concat(F.lit("q"), (F.col("person_id") % 9).cast("string")).alias("person_id"))
+    return entities.back_filled(works, rows).select("work_id", "work_type", "author_id")
+
+
+@query("speaker_ids", f"SELECT n AS uri, name AS speaker_name, id AS speaker_id FROM (SELECT unnest(range({len(SPELLINGS)})) AS n, unnest({sql_list(SPELLINGS)}) AS name, unnest({sql_list(_ID)}) AS id)", over_star=False)
+def speaker_ids(spark, sf_dir):
+    """Speakers are told by the aliases of their spellings."""
+    talks = spark.createDataFrame(list(enumerate(SPELLINGS)), "uri long, speaker_name string").withColumn("title", F.lit("T"))
+    rows = spelled(spark, sf_dir).limit(0)
+    found = entities.resolve(rows, talks, nobody(spark)[1], curated_works(spark))["talks"]
+    return found.select("uri", "speaker_name", "speaker_id")

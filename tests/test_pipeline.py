@@ -1,14 +1,15 @@
 """The stages end to end over a small archive, and its parts."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from glossa.functions import text
-from glossa.operators import entities, pages, scope
+from glossa.operators import entities, fold, pages, scope
 from glossa.plans import pipeline
-from glossa.sources import archive, http
+from glossa.sources import archive, crawl, http
 from glossa.streaming import ingest
 
 
@@ -80,11 +81,141 @@ def test_rerun_keeps_other_conferences(spark, root, tmp_path):
     assert again.count() == 2
 
 
+@pytest.mark.parametrize(("selector", "filters"), [("1980/4/one", {}), ("1980", {"speaker": "anne"}), ("all", {"session": "saturday-morning"})])
+def test_rerun_over_a_narrow_scope_keeps_the_other_talks(spark, root, tmp_path, selector, filters):
+    """A talk, a speaker, a session: the other talks of the conference and their citations stay."""
+    out = str(tmp_path)
+    before = pipeline.parse(spark, root, out, include_non_talks=True).count()
+    key = ["talk_id", "marker", "position"]
+    whole = {tuple(r) for r in pipeline.extract(spark, out, include_non_talks=True).select(key).collect()}
+    assert {t for t, *_ in whole} >= {"/general-conference/1980/04/one", "/general-conference/1980/04/two"}
+    assert {tuple(r) for r in pipeline.extract(spark, out, selector, **filters).select(key).collect()} == whole
+    assert pipeline.parse(spark, root, out, selector, **filters).count() == before
+    left = {r["talk_id"] for r in spark.read.parquet(f"{out}/citations").select("talk_id").distinct().collect()}
+    assert "/general-conference/1980/04/one" not in left  # parsed anew, not extracted yet
+    assert "/general-conference/1980/04/two" in left
+    assert {r["uri"] for r in pipeline.dated_talks(spark, out).filter("extracted_at is null").collect()} == {"/general-conference/1980/04/one"} | ({"/general-conference/1990/10/three"} if not filters and selector == "all" else set())
+    assert {tuple(r) for r in pipeline.extract(spark, out, selector, **filters).select(key).collect()} == whole
+
+
+def test_talks_that_the_archive_drops_take_their_rows_along(spark, root, tmp_path):
+    import shutil
+
+    copy, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    shutil.copytree(root, copy)
+    pipeline.parse(spark, copy, out, include_non_talks=True)
+    pipeline.extract(spark, out, include_non_talks=True)
+    toc = json.loads(open(f"{copy}/1980-04/toc.json").read())
+    toc["entries"][1]["section"]["entries"] = toc["entries"][1]["section"]["entries"][:1]
+    open(f"{copy}/1980-04/toc.json", "w").write(json.dumps(toc))
+    assert {r["slug"] for r in pipeline.parse(spark, copy, out, "1980", include_non_talks=True).collect()} == {"one", "three"}
+    assert pipeline.extract(spark, out).filter("talk_id like '%/two'").count() == 0
+    counted = {(r["year"], r["month"]): (r["talks_total"], r["talks_parsed"], r["talks_extracted"]) for r in pipeline.coverage(spark, copy, out).collect()}
+    assert counted == {(1980, 4): (1, 1, 1), (1990, 10): (1, 1, 1)}
+
+
+def test_a_conference_without_rows_leaves_no_old_ones(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1, 1980, 4), ("b", 2, 1980, 4), ("c", 3, 1981, 4)], "uri string, v int, year int, month int")
+    scope_talks = rows.select("uri", "year", "month")
+    pipeline.save(rows, table, scope_talks)
+    assert {r["uri"] for r in pipeline.save(rows.limit(0), table, scope_talks.filter("year = 1981")).collect()} == {"a", "b"}
+    assert {r["uri"] for r in pipeline.save(rows.limit(0), table, scope_talks.filter("uri = 'a'")).collect()} == {"b"}
+
+
+def test_site_holds_all_fields(spark, root, tmp_path):
+    pipeline.run(spark, root, str(tmp_path), include_non_talks=True)
+    read = lambda name: [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/site/index/{name}").collect()]
+    assert set(read("talks")[0]) >= {"uri", "title", "speaker_name", "speaker_id", "speaker_role", "conference", "year", "session", "session_ord", "ord", "counted", "scriptures"}
+    assert {r["name"] for r in read("speakers")} == {"Anne Doe", "Bo Lee"}
+    (book,) = [w for w in read("works") if w["title"] == "Mere Christianity"]
+    assert (book["author"], book["by_decade"], book["work_type"]) == ("C. S. Lewis", {"1980s": 2}, "book")
+    assert read("scripture")[0]["by_decade"] == {"1980s": 1}
+    (first, _) = sorted(read("conferences"), key=lambda r: r["conference"])
+    assert (first["title"], first["talks_parsed"], first["talks_extracted"]) == ("April 1980 general conference", 1, 1)
+    assert read("generated")[0]["generated_at"][:2] == "20"
+
+
+def test_later_curated_entries_win(spark):
+    curated = spark.createDataFrame([(0, "Zed Poe", "external", ["Z. Poe"]), (1, "Abe Poe", "church_leader", ["Z. Poe"])], "ord int, canonical string, kind string, aliases array<string>")
+    assert {r["key"]: r["canonical"] for r in entities.alias_keys(curated).collect()}["z poe"] == "Abe Poe"
+    works = spark.createDataFrame([(0, "Zeal", "A", "book", ["Poems"]), (1, "Ardor", "B", "poem", ["Poems"])], "ord int, canonical string, author string, type string, aliases array<string>")
+    assert {r["title_key"]: (r["given"], r["given_type"]) for r in entities.curated_titles(works).collect()}["poems"] == ("Ardor", "poem")
+
+
+def test_crawl_fills_the_archive(spark, tmp_path):
+    """Contents and talks come from a service; what is cached is not fetched again; failures are told."""
+    root = str(tmp_path / "raw")
+
+    def service(pages):
+        def open_(request, timeout):
+            import json as j
+            from urllib.error import HTTPError
+
+            class Answer:
+                def __enter__(self):
+                    return self
+
+                def __exit__(self, *_):
+                    return False
+
+                def read(self):
+                    return j.dumps(pages[request.full_url]).encode()
+
+            if request.full_url not in pages:
+                raise HTTPError(request.full_url, 404, "none", None, None)
+            if pages[request.full_url] == "down":
+                raise OSError("down")
+            return Answer()
+
+        return open_
+
+    item = lambda slug: {"content": {"uri": f"/study/general-conference/1980/04/{slug}", "title": slug, "subtitle": "Anne Doe"}}
+    toc = {"entries": [{"section": {"title": "S", "entries": [item("one"), item("two"), item("three")]}}]}
+    page = {"meta": {"title": "One"}, "content": {"body": "<p id='p1'>Said.</p>", "footnotes": {}}}
+    at = "http://x/"
+    pages_ = {f"{at}toc?lang=eng&uri=/general-conference/1980/04": toc, f"{at}content?lang=eng&uri=/general-conference/1980/04/one": page, f"{at}content?lang=eng&uri=/general-conference/1980/04/two": "down"}
+    quiet = lambda s: None
+    count, failed = crawl.crawl(spark, root, at, "1980", open_=service(pages_), sleep=quiet)
+    assert count == 1
+    assert sorted(f.split(": ")[0] for f in failed) == ["/general-conference/1980/04/three", "/general-conference/1980/04/two"]
+    assert json.loads((tmp_path / "raw/1980-04/one.json").read_text()) == page
+    assert not (tmp_path / "raw/1980-10").exists()
+    pages_ |= {f"{at}content?lang=eng&uri=/general-conference/1980/04/two": page, f"{at}content?lang=eng&uri=/general-conference/1980/04/one": "down"}
+    assert crawl.crawl(spark, root, at, "1980", open_=service(pages_), sleep=quiet, workers=2)[0] == 1  # one is cached
+    assert {r["slug"] for r in pipeline.parse(spark, root, str(tmp_path / "out"), "1980").collect()} == {"one", "two"}
+
+
+def test_registered_functions(spark):
+    fold.register(spark)
+    note = "<p>C. S. Lewis, <cite>Mere Christianity</cite> (1952), 174; Lewis, 9.</p>"
+    rows = spark.createDataFrame([(1, note)], "id int, note string")
+    rows.createOrReplaceTempView("notes")
+    got = spark.sql("SELECT tokenize(note).text AS t, size(segments(note)) AS n, parse_citation('C. S. Lewis, Mere Christianity, 4', '').author AS a, attribution('Victor Hugo wrote:') AS w FROM notes").first()
+    assert (got["t"], got["n"], got["a"], got["w"]) == ("C. S. Lewis, ⟪Mere Christianity⟫ (1952), 174; Lewis, 9. ¶", 2, "C. S. Lewis", "Victor Hugo")
+    found = spark.sql("SELECT id, c.position, c.author_name, c.locator FROM notes, LATERAL explode_citations(note, '') c").collect()
+    assert [(r["author_name"], r["locator"]) for r in found] == [("C. S. Lewis", "174"), ("C. S. Lewis", "9")]
+
+
 def test_streaming_ingest(spark, root, tmp_path):
-    refs = archive.references(archive.tables_of_contents(spark, root))
-    ingest.extract_stream(spark, root, refs, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "out"))
-    assert rows.filter("tier = 'freetext'").count() >= 2
+    """A page that changes replaces its citations."""
+    import shutil
+
+    raw, out, mark = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck")
+    shutil.copytree(root, raw)
+    refs = archive.references(archive.tables_of_contents(spark, raw))
+    ingest.extract_stream(spark, raw, refs, out, mark).awaitTermination()
+    first = spark.read.parquet(out)
+    assert first.filter("tier = 'freetext'").count() >= 2
+    page = json.loads(open(f"{raw}/1980-04/one.json").read(), strict=False)
+    page["content"]["footnotes"] = {}
+    kept = first.filter("talk_id not like '%/one'").count()
+    os.makedirs(f"{raw}/again/1980-04")
+    open(f"{raw}/again/1980-04/one.json", "w").write(json.dumps(page))
+    ingest.extract_stream(spark, raw, refs, out, mark).awaitTermination()
+    again = spark.read.parquet(out)
+    assert again.filter("talk_id like '%/one' and marker like 'note%'").count() == 0
+    assert again.filter("talk_id not like '%/one'").count() == kept
 
 
 def test_page():

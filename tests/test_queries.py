@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from glossa import queries, queries_text  # noqa: F401
+from glossa import queries, queries_grammar, queries_text  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
