@@ -72,8 +72,8 @@ def _anchors(batches):
             yield pa.RecordBatch.from_arrays([own, pa.array(low[new].view(np.int64))], names=["class", "anchor"])
 
 
-def edge_rows(bits: int = BITS):
-    """(id, text, anchors, part) -> the windows whose anchor is repeated: id, position, edge, nodes."""
+def edge_rows(bits: int = BITS, nodes: bool = True):
+    """(id, text, anchors, part) -> the windows whose anchor is repeated: id, position, edge and, on demand, its nodes."""
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches):
@@ -93,18 +93,20 @@ def edge_rows(bits: int = BITS):
                 at, doc = starts[keep], doc[keep]
                 if not len(at):
                     continue
-                edge, node = words.gram_hashes(c.hashes, WINDOW) & mask, words.gram_hashes(c.hashes, WINDOW - 1)
+                columns = [(words.gram_hashes(c.hashes, WINDOW) & mask)[at]]
+                if nodes:
+                    node = words.gram_hashes(c.hashes, WINDOW - 1)
+                    columns += [node[at], node[at + 1]]
                 ids = batch.column(0).slice(c.first, c.last - c.first).take(pa.array(doc))
-                whole = pa.RecordBatch.from_arrays(
-                    [ids, pa.array(at - c.bounds[doc] + parts[c.first + doc] * PART), *[pa.array(x.view(np.int64)) for x in (edge[at], node[at], node[at + 1])]], names=["id", "pos", "edge", "head", "tail"]
-                )
+                arrays = [ids, pa.array(at - c.bounds[doc] + parts[c.first + doc] * PART), *[pa.array(x.view(np.int64)) for x in columns]]
+                whole = pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "edge", "head", "tail"][: len(arrays)])
                 for i in range(0, len(at), 1 << 16):
                     yield whole.slice(i, 1 << 16)
 
     return run
 
 
-EDGE = "id long, pos long, edge long, head long, tail long"
+EDGE, NODES = "id long, pos long, edge long", ", head long, tail long"
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -147,9 +149,9 @@ def paths(edges: DataFrame) -> DataFrame:
 
     Columns: edge, weight, source, at, begin.
     """
-    found = edges.groupBy("edge").agg(F.min(F.struct("id", "pos")).alias("top"), F.max("id").alias("_last"), F.count("*").alias("weight"), F.min("head").alias("head"), F.min("tail").alias("tail"))
-    found = found.filter(F.col("top.id") < F.col("_last")).select("edge", "weight", F.col("top.id").alias("source"), F.col("top.pos").alias("at"), "head", "tail")
-    found = staged(found, "repeated")
+    # Where an edge stands several times in its source, any of the positions will do.
+    found = edges.groupBy("edge").agg(F.min("id").alias("source"), F.min_by("pos", "id").alias("at"), F.max("id").alias("_last"), F.count("*").alias("weight"), F.min("head").alias("head"), F.min("tail").alias("tail"))
+    found = staged(found.filter("source < _last").drop("_last"), "repeated")
     ends = found.select(F.explode(F.array(F.struct(F.col("head").alias("node"), F.lit(1).alias("out")), F.struct(F.col("tail").alias("node"), F.lit(0).alias("out")))).alias("e"))
     nodes = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.count("*").alias("ways"))
     branching = nodes.filter("out <> 1 or ways <> 2").select(F.col("node").alias("head"), F.lit(True).alias("opens"))
@@ -170,8 +172,8 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
     return table.groupBy("source", "begin").agg((F.max("at") - F.col("begin") + WINDOW).alias("words"), F.max("weight").alias("occurrences"))
 
 
-def _edge_table(cands: DataFrame, bits: int = BITS) -> DataFrame:
-    return cands.select("id", "text", "anchors", "part").mapInArrow(edge_rows(bits), EDGE)
+def _edge_table(cands: DataFrame, bits: int = BITS, nodes: bool = True) -> DataFrame:
+    return cands.select("id", "text", "anchors", "part").mapInArrow(edge_rows(bits, nodes), EDGE + NODES if nodes else EDGE)
 
 
 def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
@@ -179,20 +181,32 @@ def path_spans(cands: DataFrame, bits: int = BITS) -> DataFrame:
 
     Runs of the source itself that stand elsewhere than at the path are among them; they are not removed.
     """
-    edges = _edge_table(cands, bits)
-    found = paths(edges)
+    found = paths(_edge_table(cands, bits))
     total = found.agg(F.sum("weight")).first()[0] or 0
-    met = attach(edges.select("id", "pos", "edge"), found, "edge", "weight", F.xxhash64("id", "pos"), total)
-    met = met.filter("source < id or (source = id and pos <> at)").withColumn("shift", F.col("pos") - F.col("at"))
-    follow = met.groupBy("id", "source", "begin", "shift").agg(F.sort_array(F.collect_set("pos")).alias("s"))
-    heads = F.expr("filter(s, (x, i) -> i = 0 or s[i - 1] + 1 <> x)")
-    lasts = F.expr("filter(s, (x, i) -> i = size(s) - 1 or s[i + 1] - 1 <> x)")
-    runs = follow.select("id", "source", "shift", F.explode(F.arrays_zip(heads.alias("first"), lasts.alias("last"))).alias("run"))
-    out = staged(runs.select("id", "source", F.col("run.first").alias("first"), F.col("run.last").alias("last"), (F.col("run.first") - F.col("shift")).alias("at")), "spans")
+    met = attach(_edge_table(cands, bits, nodes=False), found, "edge", "weight", F.xxhash64("id", "pos"), total)
+    met = met.filter("source < id or (source = id and pos <> at)").select("id", "source", "begin", (F.col("pos") - F.col("at")).alias("shift"), "pos")
+    along = met.repartition("id").sortWithinPartitions("id", "source", "begin", "shift", "pos")
+    out = staged(along.mapInArrow(_runs, "id long, source long, first long, last long, at long"), "spans")
     discard(found)
     return out
 
 
+def _runs(batches):
+    """(id, source, begin, shift, pos) in order -> runs of successive positions that agree in the others; a batch's end cuts them."""
+    for batch in batches:
+        columns = [batch.column(i).to_numpy() for i in range(5)]
+        if not len(batch):
+            continue
+        opens = np.concatenate([[True], columns[4][1:] != columns[4][:-1] + 1])
+        for x in columns[:4]:
+            opens[1:] |= x[1:] != x[:-1]
+        first = np.flatnonzero(opens)
+        last = np.append(first[1:], len(opens)) - 1
+        ids, source, _, shift, pos = columns
+        arrays = (ids[first], source[first], pos[first], pos[last], pos[first] - shift[first])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["id", "source", "first", "last", "at"])
+
+
 class Joined:
     """The words of a chunk, each followed by one space, as one text; ``at`` has the offsets of the words in it."""
 
