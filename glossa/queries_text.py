@@ -301,3 +301,20 @@ def speaker_ids(spark, sf_dir):
     rows = spelled(spark, sf_dir).limit(0)
     found = entities.resolve(rows, talks, nobody(spark)[1], curated_works(spark))["talks"]
     return found.select("uri", "speaker_name", "speaker_id")
+
+
+@query(
+    "compact_all_keys",
+    f"""SELECT talk_id AS t, CASE WHEN quantity % 6 > 0 THEN person_id END AS p, CASE WHEN quantity % 4 > 0 THEN 'a' || work_id % 7 END AS a, CASE WHEN quantity % 5 > 0 THEN work_id END AS w, container_id AS c, relation AS r, tier AS k,
+CAST(1900 + quantity AS INT) AS y, 'p. ' || quantity AS l, 'book' AS wt, left(repeat('x' || quantity, 400), 600) AS x, right('c' || talk_id || repeat('z', CAST(quantity * 10 AS INT)), 240) AS cx, round(confidence, 2) AS cf, '/t/' || cited_talk AS u,
+CASE WHEN quantity % 6 = 0 THEN 'q' || person_id END AS pn, CASE WHEN quantity % 5 = 0 THEN CASE quantity % 3 WHEN 0 THEN 'box' ELSE {sql_pick(BOOKS, 'work_id')} END END AS wn FROM citations WHERE tier NOT IN ('scripture', 'note')""",
+)
+def compact_all_keys(spark, sf_dir):
+    """All sixteen keys of an exported citation; an empty title counts as none."""
+    q, text_of = F.col("quantity"), lambda c: F.col(c).cast("string")
+    rows = star.citations(spark, sf_dir).withColumns({
+        "author_id": F.when(q % 4 > 0, F.concat(F.lit("a"), (F.col("work_id") % 7).cast("string"))), "year": (q + 1900).cast("int"), "locator": F.concat(F.lit("p. "), text_of("quantity")), "work_type": F.lit("book"),
+        "raw_text": F.repeat(F.concat(F.lit("x"), text_of("quantity")), F.lit(400)), "context": F.concat(F.lit("c"), text_of("talk_id"), F.repeat(F.lit("z"), q * 10)), "cited_talk_uri": F.concat(F.lit("/t/"), text_of("cited_talk")),
+        "person_quoted": F.concat(F.lit("q"), text_of("person_id")), "work_title": F.when(q % 3 == 0, "").otherwise(pick(BOOKS, F.col("work_id"))), "container_title": F.lit("box"),
+    })
+    return export.compact(rows.withColumns({"person_id": F.when(q % 6 > 0, F.col("person_id")), "work_id": F.when(q % 5 > 0, F.col("work_id"))}))
