@@ -1,9 +1,11 @@
-"""Commands: list, crawl, parse, extract, resolve, aggregate, run, status, sample."""
+"""Commands: list, crawl, parse, extract, resolve, aggregate, run, status, sample, serve."""
 
 from __future__ import annotations
 
 import argparse
 import importlib
+from functools import partial
+from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
 
 from pyspark.sql import SparkSession
 
@@ -80,10 +82,22 @@ def sample(spark, a):
     R.sample(spark.read.parquet(f"{a.out}/citations"), a.n, a.tier, a.low).show(a.n, truncate=80, vertical=True)
 
 
+def site_server(folder: str, port: int) -> ThreadingHTTPServer:
+    """Serves a local folder on this machine only."""
+    return ThreadingHTTPServer(("127.0.0.1", port), partial(SimpleHTTPRequestHandler, directory=folder))
+
+
+def serve(_, a):
+    """Serves the site until interrupted."""
+    with site_server(f"{a.out}/site", a.port) as server:
+        print(f"serving {a.out}/site at http://127.0.0.1:{server.server_port}/")
+        server.serve_forever()
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="glossa", description=__doc__)
     sub = ap.add_subparsers(dest="command", required=True)
-    for f in (list_, crawl, parse, extract, resolve, aggregate, run, status, sample):
+    for f in (list_, crawl, parse, extract, resolve, aggregate, run, status, sample, serve):
         p = sub.add_parser(f.__name__.rstrip("_"), help=f.__doc__)
         p.set_defaults(f=f)
         p.add_argument("selector", nargs="?", default="all", help="all | 2026 | 2019..2026 | 2026/04 | 2026/04/13kearon")
@@ -100,5 +114,6 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("-n", type=int, default=30)
         p.add_argument("--tier", default="freetext", choices=["freetext", "crossref", "note", "all"])
         p.add_argument("--low", action="store_true")
+        p.add_argument("--port", type=int, default=8765)
     a = ap.parse_args(argv)
-    a.f(SparkSession.builder.appName("glossa").getOrCreate(), a)
+    a.f(None if a.f is serve else SparkSession.builder.appName("glossa").getOrCreate(), a)

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from glossa import cli
 from glossa.functions import text
 from glossa.operators import entities, fold, pages, scope
 from glossa.plans import pipeline
@@ -266,3 +267,31 @@ def test_fetch_retries_and_missing():
     answers.append(Answer(b'{"statusCode": 404}'))
     with pytest.raises(http.Missing):
         http.fetch("http://u", open_, waits.append)
+
+
+def test_commands(spark, root, tmp_path, capsys):
+    """run, status, sample and list over a small archive, with a second reading by name."""
+    out = str(tmp_path)
+    common = ["--root", root, "--out", out]
+    cli.main(["run", "all", "--include-non-talks", *common])
+    cli.main(["status", *common])
+    shown = capsys.readouterr().out
+    assert "1980" in shown
+    assert "freetext" in shown
+    cli.main(["extract", "1980/4/one", *common])
+    assert spark.read.parquet(f"{out}/citations").filter("talk_id like '%/two'").count() > 0
+    cli.main(["sample", "-n", "2", *common])
+    assert "raw_text" in capsys.readouterr().out
+    cli.main(["list", "1980", *common])
+    assert "First Things Last" in capsys.readouterr().out
+
+
+def test_site_server(tmp_path):
+    import threading
+    from urllib.request import urlopen
+
+    (tmp_path / "x.json").write_text("{}")
+    with cli.site_server(str(tmp_path), 0) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        assert urlopen(f"http://127.0.0.1:{server.server_port}/x.json", timeout=5).read() == b"{}"
+        server.shutdown()
