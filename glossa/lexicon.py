@@ -415,7 +415,7 @@ Bloomington; Notre Dame; Colorado Springs; Carol Stream; Liverpool; Manchester;
 """)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Lexicon:
     """The lists that the grammar consults. Pass longer ones to recognise more titles and names."""
 
