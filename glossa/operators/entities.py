@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.hrefs import lookup
+from ..functions.spread import attached
 from ..functions.text import name_key, title_key
 from .grammar import clean_name
 
@@ -29,6 +30,14 @@ def most_common(rows: DataFrame, by: list[str], *what: str) -> DataFrame:
     return n.groupBy(*by).agg(F.min(F.struct((-F.col("_n")).alias("_n"), *what)).alias("_m")).select(*by, *[F.col("_m")[w].alias(w) for w in what])
 
 
+def told_apart(rows: DataFrame, *columns: str) -> DataFrame:
+    """The distinct values with their number as _n, by hashes: the least of many texts is found by sorting, so equal ones go first.
+
+    The condition keeps the optimizer from folding this into an aggregate over it.
+    """
+    return rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 0")
+
+
 def name_counts(citations: DataFrame, speakers: DataFrame) -> DataFrame:
     """(name, n): how often persons and authors are named, whatever the tier; speakers count 0."""
     named = citations.select(F.explode(F.array("person_quoted", "author_name")).alias("name")).filter("name is not null").withColumn("n", F.lit(1))
@@ -129,7 +138,7 @@ def curated_titles(works: DataFrame) -> DataFrame:
 def work_keys(citations: DataFrame, works: DataFrame) -> DataFrame:
     """Adds work_id: 's|book', 'u|uri', 'o|curated title', 't|title' or 'a|title|author' (null where there is no title)."""
     title = F.coalesce("work_title", "container_title")
-    rows = citations.withColumns({"title": title, "title_key": title_key(title)}).join(curated_titles(works), "title_key", "left")
+    rows = citations.withColumns({"title": title, "title_key": title_key(title)}).join(F.broadcast(curated_titles(works)), "title_key", "left")
     by_title = F.col("work_title").isNull() | F.coalesce(F.col("work_type").isin(*TITLE_ONLY_TYPES), F.lit(False)) | (F.size(F.split("title_key", " ")) >= 3)
     own = F.coalesce("author_id", "person_id", F.lit(""))
     key = (
@@ -141,10 +150,13 @@ def work_keys(citations: DataFrame, works: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("work_id", key)
     # A title without an author joins the one author under whom it is known, if there is only one.
-    under = rows.filter(F.col("work_id").startswith("a|") & (own != "")).groupBy("title_key").agg(F.min("work_id").alias("_a"), F.max("work_id").alias("_b")).filter("_a = _b").select("title_key", "_a")
-    rows = rows.join(under, "title_key", "left")
-    lone = F.col("work_id").startswith("a|") & (own == "") & F.col("_a").isNotNull()
-    return rows.withColumn("work_id", F.when(lone, F.col("_a")).otherwise(F.col("work_id"))).drop("_a")
+    lone = F.col("work_id").startswith("a|") & (own == "")
+    known = told_apart(rows.filter(F.col("work_id").startswith("a|")).withColumn("_lone", lone), "title_key", "work_id", "_lone")
+    named = F.when(~F.col("_lone"), F.col("work_id"))
+    known = known.groupBy(F.col("title_key").alias("_key")).agg(F.min(named).alias("_a"), F.max(named).alias("_b"), F.sum(F.when(F.col("_lone"), F.col("_n"))).alias("n")).filter("_a = _b and n > 0")
+    columns = rows.columns
+    rows = attached(rows.withColumn("_key", F.when(lone, F.col("title_key"))), known.select("_key", "_a", "n"), "_key", "n")
+    return rows.withColumn("work_id", F.coalesce("_a", "work_id")).select(*columns)
 
 
 def works(keyed: DataFrame, talks: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """What keeps stages in bounds on large tables: work done once, tasks without hot keys, bounded batches."""
 
 import pyarrow as pa
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from glossa.operators import fold
+from glossa.functions import spread
+from glossa.operators import entities, fold
 from glossa.operators import grammar as G
 
 NOTES = ["<p>C. S. Lewis, Mere Christianity (1952), 174.</p>", "<p>Ibid., 180.</p>", None, "<p>Lewis, Mere Christianity, 9.</p>"]
@@ -30,3 +30,46 @@ def test_talks_of_equal_texts_share_a_fold(spark, monkeypatch):
     folds.MOST_KEPT = 0
     assert [r for b in fold.folded(batch, schema, folds) for r in b.to_pylist()] == want
     assert len(calls) == 2 * (len(NOTES) + len(NOTES[1:]))
+
+
+NO_WORKS = "canonical string, author string, type string, aliases array<string>"
+TEXTS = ("tier", "work_title", "work_type", "author_id", "person_id", "container_title", "cited_talk_uri", "scripture_book")
+
+
+def cited(spark, *rows):
+    return spark.createDataFrame([("freetext", title, "book", author, None, box, None, None) for title, author, box in rows], ", ".join(f"{c} string" for c in TEXTS))
+
+
+def test_join_without_hot_keys(spark):
+    """Frequent keys, rare ones, missing ones and keys that the table does not have, with and without room for all in the broadcast."""
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(["a"] * 300 + ["b"] * 3 + [None] * 200 + ["z", "c"])], "i int, k string")
+    table = spark.createDataFrame([("a", 1, None, 300), ("b", 2, "B", 3), ("c", None, "C", 1), ("d", 4, "D", 0)], "k string, x int, y string, n int")
+    want = sorted(map(str, rows.join(table, "k", "left").select("i", "k", "x", "y").collect()))
+    room = spread.HEAVY
+    try:
+        for spread.HEAVY in (room, 1, 0):
+            assert sorted(map(str, spread.attached(rows, table, "k", "n").collect())) == want
+    finally:
+        spread.HEAVY = room
+
+
+def test_titles_are_not_joined_by_hot_keys(spark):
+    """Three titles for all rows: before, each title's rows were sorted in one task."""
+    rows = cited(spark, *[(t, a, None) for t in ("Poems", "Odes", "The Silver Lamp of Home") for a in ("a", "b" if t == "Odes" else "a", None)])
+    rows = rows.crossJoin(spark.range(200))
+    found = entities.work_keys(rows, spark.createDataFrame([], NO_WORKS))
+    counts = {r["work_id"]: r["count"] for r in found.groupBy("work_id").count().collect()}
+    assert counts == {"a|odes|": 200, "a|odes|a": 200, "a|odes|b": 200, "a|poems|a": 600, "t|silver lamp of home": 600}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
+    assert joins and not [line for line in joins if "(title_key#" in line and "Hint" not in line and "Broadcast" not in line and "strategy=broadcast" not in line]
+
+
+def test_least_texts_are_found_among_distinct_ones(spark):
+    """A least text is found by sorting: only distinct rows may come there."""
+    rows = cited(spark, *[("Odes", "a", "Ensign"), ("Ensign", "b", None)] * 50)
+    found = entities.containers(entities.work_keys(rows, spark.createDataFrame([], NO_WORKS)))[0]
+    assert [tuple(r) for r in found.collect()] == [("Ensign", "a|ensign|b")]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "min(work_id" in plan
+    assert "Filter (_n#" in plan
