@@ -190,7 +190,7 @@ def containers(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A container that is spelled as a work's title is that work; others are one per title key.
     """
-    spelled = keyed.filter("work_id is not null and title is not null").groupBy(F.col("title").alias("container_title")).agg(F.min("work_id").alias("as_work"))
+    spelled = told_apart(keyed.filter("work_id is not null and title is not null"), "title", "work_id").groupBy(F.col("title").alias("container_title")).agg(F.min("work_id").alias("as_work"))
     found = keyed.filter("container_title is not null and work_title is not null").groupBy("container_title").agg(F.count("*").alias("n")).join(spelled, "container_title", "left")
     found = found.withColumn("key", F.concat(F.lit("c|"), title_key(F.col("container_title"))))
     first = found.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "container_title"))["container_title"].alias("title"), F.min("as_work").alias("shared"))
