@@ -165,7 +165,7 @@ def works(keyed: DataFrame, talks: DataFrame) -> DataFrame:
     spelled = most_common(rows.withColumn("t", F.coalesce("title", "scripture_book", "cited_talk_uri")), ["work_id"], "t")
     only = F.col("work_title").isNull()
     meta = most_common(rows.select("work_id", F.when(only, "periodical").otherwise(F.col("work_type")).alias("work_type"), F.when(~only, F.col("author_id")).alias("author_id")), ["work_id"], "work_type", "author_id")
-    given = rows.filter("work_id like 'o|%'").groupBy("work_id").agg(F.max("given_type").alias("given_type"), F.max(name_key(F.col("given_author"))).alias("given_author"))
+    given = told_apart(rows.filter("work_id like 'o|%'"), "work_id", "given_type", "given_author").groupBy("work_id").agg(F.max("given_type").alias("given_type"), F.max(name_key(F.col("given_author"))).alias("given_author"))
     cited = rows.filter("work_id like 'u|%'").select("work_id", "cited_talk_uri").distinct()
     cited = cited.join(talks.select(F.col("uri").alias("cited_talk_uri"), F.col("title").alias("_title"), F.col("speaker_id").alias("_speaker")), "cited_talk_uri", "left")
     out = spelled.join(meta, "work_id").join(given, "work_id", "left").join(cited, "work_id", "left")
