@@ -73,3 +73,16 @@ def test_least_texts_are_found_among_distinct_ones(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "min(work_id" in plan
     assert "Filter (_n#" in plan
+
+
+def test_segments_are_read_once(monkeypatch):
+    text, made = "Bo Lee, The Lamp of Zarna (1952), 174.", []
+    plain = G.Source.of
+    monkeypatch.setattr(G.Source, "of", lambda *a: made.append(a) or plain(*a))
+    first = G.parse(text)
+    first.author = "changed"
+    assert G.parse(text).author == "Bo Lee"
+    assert len(made) == 1
+    long = text + " " * G.REMEMBERED
+    assert G.parse(long) == G.parse(long)
+    assert len(made) == 3
