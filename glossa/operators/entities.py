@@ -75,8 +75,11 @@ def listed_canonical(key: Column, titled: Column) -> Column:
 
 
 def keyed_names(names: DataFrame, curated: DataFrame) -> DataFrame:
-    """(name, n, author): every spelling with the key of its person."""
-    rows = names.withColumn("key0", name_key(F.col("name")))
+    """(name, n, author): every spelling with the key of its person.
+
+    The key asks for the count, so that the optimizer cannot move it ahead of the count, to every citation.
+    """
+    rows = names.withColumn("key0", F.when(F.coalesce("n", F.lit(0)) >= 0, name_key(F.col("name"))))
     rows = rows.join(first_last_merges(rows.select(F.col("key0").alias("key"))).withColumnRenamed("key", "key0"), "key0", "left")
     rows = rows.withColumn("key", F.coalesce("into", "key0")).drop("into")
     titled = F.coalesce(F.bool_or(F.col("name").rlike(TITLED)).over(W.partitionBy("key")), F.lit(False))

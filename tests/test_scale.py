@@ -75,6 +75,20 @@ def test_least_texts_are_found_among_distinct_ones(spark):
     assert "Filter (_n#" in plan
 
 
+def test_keys_are_made_of_distinct_names(spark, monkeypatch):
+    """Before, the key of a name was made, some ten times over, for every citation."""
+    made = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda name: made.add(1) or name, "string")
+    plain = entities.name_key
+    monkeypatch.setattr(entities, "name_key", lambda name: plain(counted(name)))
+    people = F.element_at(F.array(F.lit("Neal A. Maxwell"), F.lit("Elder Neal Maxwell"), F.lit("Paul")), (F.col("id") % 3 + 1).cast("int"))
+    rows = spark.range(3000).select(people.alias("person_quoted"), F.lit(None).cast("string").alias("author_name"))
+    names = entities.name_counts(rows, spark.createDataFrame([("Paul",), ("",), (None,)], "speaker_name string"))
+    found = entities.keyed_names(names, spark.createDataFrame([], "canonical string, kind string, aliases array<string>"))
+    assert sorted(map(tuple, found.select("name", "n", "author").collect())) == [("Elder Neal Maxwell", 1000, "neal a maxwell"), ("Neal A. Maxwell", 1000, "neal a maxwell"), ("Paul", 1000, "paul")]
+    assert 0 < made.value < 100
+
+
 def test_segments_are_read_once(monkeypatch):
     text, made = "Bo Lee, The Lamp of Zarna (1952), 174.", []
     plain = G.Source.of
