@@ -74,12 +74,14 @@ def listed_canonical(key: Column, titled: Column) -> Column:
     return F.coalesce(sister, lone)
 
 
-def keyed_names(names: DataFrame, curated: DataFrame) -> DataFrame:
-    """(name, n, author): every spelling with the key of its person.
+def key_of_counted(name: str, n: str) -> Column:
+    """``name_key`` of names that were grouped and counted: it asks for the count, so that the optimizer cannot move it ahead of that, to every row."""
+    return F.when(F.coalesce(n, F.lit(0)) >= 0, name_key(F.col(name)))
 
-    The key asks for the count, so that the optimizer cannot move it ahead of the count, to every citation.
-    """
-    rows = names.withColumn("key0", F.when(F.coalesce("n", F.lit(0)) >= 0, name_key(F.col("name"))))
+
+def keyed_names(names: DataFrame, curated: DataFrame) -> DataFrame:
+    """(name, n, author): every spelling with the key of its person."""
+    rows = names.withColumn("key0", key_of_counted("name", "n"))
     rows = rows.join(first_last_merges(rows.select(F.col("key0").alias("key"))).withColumnRenamed("key", "key0"), "key0", "left")
     rows = rows.withColumn("key", F.coalesce("into", "key0")).drop("into")
     titled = F.coalesce(F.bool_or(F.col("name").rlike(TITLED)).over(W.partitionBy("key")), F.lit(False))
@@ -104,7 +106,7 @@ def authors(citations: DataFrame, speakers: DataFrame, curated: DataFrame) -> tu
     """(author, canonical_name, kind) and (alias, author)."""
     keyed = keyed_names(name_counts(citations, speakers), curated)
     spelled = keyed.groupBy("author").agg(F.min(F.struct((-F.col("n")).alias("n"), "name"))["name"].alias("common"), F.max("canonical").alias("canonical"))
-    spoke = speakers.filter("speaker_name <> ''").select(name_key(F.col("speaker_name")).alias("author")).distinct().withColumn("spoke", F.lit(True))
+    spoke = told_apart(speakers.filter("speaker_name <> ''"), "speaker_name").select(key_of_counted("speaker_name", "_n").alias("author")).distinct().withColumn("spoke", F.lit(True))
     given = curated.select(name_key(F.col("canonical")).alias("author"), F.struct(entry_order(curated).alias("ord"), "kind").alias("given")).groupBy("author").agg(F.max("given")["kind"].alias("given"))
     out = spelled.join(spoke, "author", "left").join(given, "author", "left")
     out = out.select("author", F.coalesce("canonical", "common").alias("canonical_name"), F.coalesce("given", kinds(F.col("author"), F.coalesce("spoke", F.lit(False)))).alias("kind"))

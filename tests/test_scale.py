@@ -1,6 +1,7 @@
 """What keeps stages in bounds on large tables: work done once, tasks without hot keys, bounded batches."""
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -75,18 +76,38 @@ def test_least_texts_are_found_among_distinct_ones(spark):
     assert "Filter (_n#" in plan
 
 
-def test_keys_are_made_of_distinct_names(spark, monkeypatch):
-    """Before, the key of a name was made, some ten times over, for every citation."""
+@pytest.fixture
+def keys_made(spark, monkeypatch):
+    """How many names had a key made."""
     made = spark.sparkContext.accumulator(0)
     counted = F.udf(lambda name: made.add(1) or name, "string")
     plain = entities.name_key
     monkeypatch.setattr(entities, "name_key", lambda name: plain(counted(name)))
-    people = F.element_at(F.array(F.lit("Neal A. Maxwell"), F.lit("Elder Neal Maxwell"), F.lit("Paul")), (F.col("id") % 3 + 1).cast("int"))
-    rows = spark.range(3000).select(people.alias("person_quoted"), F.lit(None).cast("string").alias("author_name"))
+    return made
+
+
+NOBODY = "canonical string, kind string, aliases array<string>"
+
+
+def people(n, name):
+    return F.element_at(F.array(*[F.lit(p) for p in ("Neal A. Maxwell", "Elder Neal Maxwell", "Paul")]), (F.col(n) % 3 + 1).cast("int")).alias(name)
+
+
+def test_keys_are_made_of_distinct_names(spark, keys_made):
+    """Before, the key of a name was made, some ten times over, for every citation."""
+    rows = spark.range(3000).select(people("id", "person_quoted"), F.lit(None).cast("string").alias("author_name"))
     names = entities.name_counts(rows, spark.createDataFrame([("Paul",), ("",), (None,)], "speaker_name string"))
-    found = entities.keyed_names(names, spark.createDataFrame([], "canonical string, kind string, aliases array<string>"))
+    found = entities.keyed_names(names, spark.createDataFrame([], NOBODY))
     assert sorted(map(tuple, found.select("name", "n", "author").collect())) == [("Elder Neal Maxwell", 1000, "neal a maxwell"), ("Neal A. Maxwell", 1000, "neal a maxwell"), ("Paul", 1000, "paul")]
-    assert 0 < made.value < 100
+    assert 0 < keys_made.value < 100
+
+
+def test_keys_are_made_of_distinct_speakers(spark, keys_made):
+    rows = spark.range(3).select(people("id", "person_quoted"), F.lit(None).cast("string").alias("author_name"))
+    speakers = spark.range(3000).select(F.when(F.col("id") % 2 == 0, people("id", "_")).otherwise(F.when(F.col("id") % 4 == 1, "")).alias("speaker_name"))
+    found = entities.authors(rows, speakers, spark.createDataFrame([], NOBODY))[0]
+    assert sorted(map(tuple, found.collect())) == [("neal a maxwell", "Elder Neal Maxwell", "church_leader"), ("paul", "Paul", "church_leader")]
+    assert 0 < keys_made.value < 200
 
 
 def test_segments_are_read_once(monkeypatch):
