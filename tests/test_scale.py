@@ -110,6 +110,14 @@ def test_keys_are_made_of_distinct_speakers(spark, keys_made):
     assert 0 < keys_made.value < 200
 
 
+def test_rows_get_ids_by_keys_of_distinct_names(spark, keys_made):
+    rows = spark.range(3000).select("id", people("id", "person_quoted"), F.when(F.col("id") % 2 == 0, people("id", "_")).alias("author_name"))
+    aliases = entities.authors(rows, spark.createDataFrame([], "speaker_name string"), spark.createDataFrame([], NOBODY))[1]
+    found = entities.with_author_ids(rows, aliases).groupBy("author_id", "person_id").count()
+    assert sorted(map(str, map(tuple, found.collect()))) == ["('neal a maxwell', 'neal a maxwell', 1000)", "('paul', 'paul', 500)", "(None, 'neal a maxwell', 1000)", "(None, 'paul', 500)"]
+    assert 0 < keys_made.value < 400
+
+
 def test_segments_are_read_once(monkeypatch):
     text, made = "Bo Lee, The Lamp of Zarna (1952), 174.", []
     plain = G.Source.of
