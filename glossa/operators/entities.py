@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon as L
 from ..functions.hrefs import lookup
-from ..functions.spread import attached
+from ..functions.spread import at_hand, attached
 from ..functions.text import name_key, title_key
 from .grammar import clean_name
 
@@ -38,9 +38,14 @@ def told_apart(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 0")
 
 
+def names_in(rows: DataFrame, *columns: str) -> DataFrame:
+    """(name): every name in the columns, once for each row; by unpivot, as that makes no array of every row."""
+    return rows.select(*columns).unpivot([], list(columns), "_column", "name").filter("name is not null").select("name")
+
+
 def name_counts(citations: DataFrame, speakers: DataFrame) -> DataFrame:
     """(name, n): how often persons and authors are named, whatever the tier; speakers count 0."""
-    named = citations.select(F.explode(F.array("person_quoted", "author_name")).alias("name")).filter("name is not null").withColumn("n", F.lit(1))
+    named = names_in(citations, "person_quoted", "author_name").withColumn("n", F.lit(1))
     every = named.unionByName(speakers.filter("speaker_name <> ''").select(F.col("speaker_name").alias("name"), F.lit(0).alias("n")))
     return every.groupBy("name").agg(F.sum("n").alias("n"))
 
@@ -126,11 +131,27 @@ def filled(citations: DataFrame, talks: DataFrame) -> DataFrame:
     }).select(*citations.columns)
 
 
+def with_ids(rows: DataFrame, aliases: DataFrame, **ids: str) -> DataFrame:
+    """Adds the ids (column of names=column of ids) of persons through the alias table.
+
+    A few names stand in most rows, so rows are not moved by their names: they stay where they are if
+    the aliases can be broadcast; else only those with rare names are, and the others are scattered.
+    """
+    few = at_hand(aliases)
+    if few is None:
+        n = names_in(rows, *ids).groupBy(F.col("name").alias("alias")).agg(F.count("*").alias("_n"))
+        aliases = aliases.join(n, "alias", "left")
+    for name, key in ids.items():
+        if few is None:
+            rows = attached(rows, aliases.select(F.col("alias").alias(name), F.col("author").alias(key), "_n"), name, "_n")
+        else:
+            rows = rows.join(F.broadcast(few.select(F.col("alias").alias(name), F.col("author").alias(key))), name, "left").select(*rows.columns, key)
+    return rows
+
+
 def with_author_ids(citations: DataFrame, aliases: DataFrame) -> DataFrame:
     """Adds author_id and person_id through the alias table."""
-    a = aliases.select(F.col("alias").alias("author_name"), F.col("author").alias("author_id"))
-    p = aliases.select(F.col("alias").alias("person_quoted"), F.col("author").alias("person_id"))
-    return citations.join(a, "author_name", "left").join(p, "person_quoted", "left")
+    return with_ids(citations, aliases, author_name="author_id", person_quoted="person_id")
 
 
 def curated_titles(works: DataFrame) -> DataFrame:
@@ -206,7 +227,8 @@ def containers(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def resolve(citations: DataFrame, talks: DataFrame, curated_authors: DataFrame, curated_works: DataFrame) -> dict[str, DataFrame]:
     """All of it: authors, aliases, works, talks with speaker_id, citations with author, person, work and container ids."""
     people, aliases = authors(citations, talks.select("speaker_name"), curated_authors)
-    talks = talks.join(aliases.select(F.col("alias").alias("speaker_name"), F.col("author").alias("speaker_id")), "speaker_name", "left")
+    aliases = at_hand(aliases) or aliases
+    talks = with_ids(talks, aliases, speaker_name="speaker_id")
     keyed = work_keys(with_author_ids(filled(citations, talks), aliases), curated_works)
     inside, new = containers(keyed)
     found = works(keyed, talks).unionByName(new.withColumns({"work_type": F.lit("periodical"), "author_id": F.lit(None).cast("string"), "cited_talk_uri": F.lit(None).cast("string")}))

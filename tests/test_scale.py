@@ -118,6 +118,34 @@ def test_rows_get_ids_by_keys_of_distinct_names(spark, keys_made):
     assert 0 < keys_made.value < 400
 
 
+@pytest.mark.parametrize("sent", [spread.SENT, 2])
+def test_rows_get_ids_where_they_are(spark, monkeypatch, sent):
+    """Before, all rows were moved to the tasks of their few names. With over SENT aliases only names that are not broadcast as frequent are joined by themselves."""
+    monkeypatch.setattr(spread, "SENT", sent)
+    monkeypatch.setattr(spread, "HEAVY", 1)
+    rows = spark.range(3000).select("id", people("id", "person_quoted"), F.when(F.col("id") % 500 == 0, people("id", "_")).when(F.col("id") % 500 == 1, "nobody").alias("author_name"))
+    aliases = spark.createDataFrame([("Neal A. Maxwell", "n"), ("Elder Neal Maxwell", "n"), ("Paul", "p")], "alias string, author string")
+    found = entities.with_author_ids(rows, aliases)
+    assert found.columns == ["id", "person_quoted", "author_name", "author_id", "person_id"]
+    ids = {"Neal A. Maxwell": "n", "Elder Neal Maxwell": "n", "Paul": "p"}
+    got = found.collect()
+    assert sorted(r["id"] for r in got) == list(range(3000))
+    assert all(r["author_id"] == ids.get(r["author_name"]) and r["person_id"] == ids[r["person_quoted"]] for r in got)
+    assert {r["author_id"] for r in got} == {"n", "p", None}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line and ("[person_quoted#" in line or "[author_name#" in line)]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+    if sent > 2:
+        assert "SortMergeJoin" not in plan
+
+
+def test_small_tables_are_at_hand(spark, monkeypatch):
+    monkeypatch.setattr(spread, "SENT", 3)
+    assert spread.at_hand(spark.range(4)) is None
+    assert sorted(r["id"] for r in spread.at_hand(spark.range(3)).collect()) == [0, 1, 2]
+    assert spread.at_hand(spark.range(0)).collect() == []
+
+
 def test_segments_are_read_once(monkeypatch):
     text, made = "Bo Lee, The Lamp of Zarna (1952), 174.", []
     plain = G.Source.of
